@@ -1,19 +1,18 @@
-"""Groups of records that share most of their word runs, by covering locality-sensitive hashing.
+"""Groups of records that share most of their word runs, by exact prefix filtering.
 
-A record's distinct runs of ``width`` words give a sketch of 32 coordinates, each the least value of one hash
-function over the runs. Two records with similarity s agree in a coordinate with probability s. The tables are
-structured masks over the coordinates: they lie in 8 blocks of 4, and every two coordinates of a block make
-one mask, 48 in all. Whichever 9 coordinates agree, two of them lie in one block (pigeonhole), so every pair
-within a sketch radius of 23 collides in some table; at similarity 0.5 a pair lies within it with
-probability 0.9965, and one in ten thousand such pairs collides in none. Pairs that collide are held against
-the sketch radius and then exactly, on the words themselves.
+All runs of ``width`` words of all records stand in one order, rare ones first. Two records with similarity t or
+more share at least t times the runs of either, so the first run that they share lies in both among the first
+n - ceil(t * n) + 1 of their n runs. Every record gives these runs only, with their places; records that meet in
+one are a candidate if the runs from there on are enough for similarity t, and if the
+runs in which they meet and the runs that either has beyond these first ones are enough. No pair is lost, at any size of input
+or family, and runs that many records hold come last, where they are mostly not needed. Candidates are held
+against each other exactly, on the words themselves.
 
-Runs so common that they say nothing about a pair (more than ``common`` of all records hold them) do not enter
-the sketch; they are found by a count over all records in 65,536 hash buckets, a table of fixed size. The
-exact check uses all runs.
+How rare a run is comes from a count in 262,144 hash buckets, a table of fixed size. It decides the order only,
+so runs that share a bucket cost candidates and never results; the same holds for keys of 32 bits.
 
 Records with the same set of runs are one class; only class representatives are hashed and compared, and
-classes are expanded at the end. Nothing is collected but the common buckets (at most 65,536 numbers).
+classes are expanded at the end. Nothing is collected but the counts of the buckets.
 
 Defined cases: null titles count as empty; a record with a null body or fewer than ``min_words`` words in its
 body has no pair; ids must be unique; repeated texts form classes; extra columns are ignored.
@@ -22,7 +21,6 @@ body has no pair; ids must be unique; repeated texts form classes; extra columns
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +31,8 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..runtime import spread, table, written
 
-COORDINATES, BLOCK = 32, 4
-MASKS = [(s + i, s + j) for s in range(0, COORDINATES, BLOCK) for i, j in combinations(range(BLOCK), 2)]
-BUCKETS = 1 << 16
-LEAST_AGREEING = 5
-_SEEDS = np.random.default_rng(20240229).integers(1, 2**63, COORDINATES, dtype=np.uint64)
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -106,24 +101,25 @@ class Runs:
         return np.array(rows), np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(rows))))), run
 
 
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 def _bucket_counts(width: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, count, seen = Runs(width, min_words), np.zeros(BUCKETS, np.int64), 0
+        runs, count = Runs(width, min_words), np.zeros(BUCKETS, np.int64)
         for b in batches:
-            rows, _, h = runs.batch(b.column(1).to_pylist(), b.column(2).to_pylist())
-            count += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
-            seen += len(rows)
+            _, _, h = runs.batch(b.column(1).to_pylist(), b.column(2).to_pylist())
+            count += np.bincount(_bucket(h), minlength=BUCKETS)
         k = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(k, -1)), pa.array(np.append(count[k], seen))], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(count[k])], names=["bucket", "n"])
 
     return run
 
 
-def _sketches(width: int, min_words: int, common: np.ndarray):
+def _prefixes(width: int, min_words: int, threshold: float, load):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(width, min_words)
-        rare_bucket = np.ones(BUCKETS, bool)
-        rare_bucket[common] = False
         for b in batches:
             rows, offsets, h = runs.batch(b.column(1).to_pylist(), b.column(2).to_pylist())
             if not len(rows):
@@ -132,39 +128,27 @@ def _sketches(width: int, min_words: int, common: np.ndarray):
             one = np.add.reduceat(_mix(h + np.uint64(1)), starts)
             two = np.add.reduceat(_mix(h ^ np.uint64(0x5851F42D4C957F2D)), starts)
             owner = np.repeat(np.arange(len(rows)), n)
-            rare = rare_bucket[(h >> np.uint64(48)).astype(np.int64)]
-            alone = np.bincount(owner[rare], minlength=len(rows)) == 0
-            keep = rare | alone[owner]
-            h, owner = h[keep], owner[keep]
-            at = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sketch = np.empty((len(rows), COORDINATES), np.uint32)
-            for k in range(COORDINATES):
-                sketch[:, k] = np.minimum.reduceat(_mix(h ^ _SEEDS[k]), at) >> np.uint64(32)
+            key = h[np.lexsort((h, load.value[_bucket(h)], owner))].astype(np.uint32)
+            length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+            prefix = [key[s : s + k].tobytes() for s, k in zip(starts.tolist(), length.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n.astype(np.int32)), pa.array([r.tobytes() for r in sketch], pa.binary())],
-                names=["id", "one", "two", "n_runs", "sketch"],
+                [b.column(0).take(pa.array(rows)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(prefix, pa.binary())],
+                names=["id", "one", "two", "n_runs", "prefix"],
             )
 
     return run
 
 
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
-        s = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES).astype(np.uint64)
-        keys = np.empty((len(s), len(MASKS)), np.uint64)
-        for m, (i, j) in enumerate(MASKS):
-            keys[:, m] = _mix((s[:, i] << np.uint64(32)) + s[:, j] + np.uint64(m * 0x9E3779B97F4A7C15 % (1 << 64)))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), b.column(0).take(pa.array(np.repeat(np.arange(len(s)), len(MASKS))))], names=["key", "id"])
-
-
-def _within_radius(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(-1, COORDINATES) for k in (2, 3))
-        yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= LEAST_AGREEING))
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, id, n_runs and rest (runs from the key's place on) of every run of the prefixes."""
+    for batch in batches:
+        for b in (batch.slice(k, 2000) for k in range(0, batch.num_rows, 2000)):
+            prefix, n = b.column(2).to_pylist(), b.column(1).to_numpy()
+            length = np.array([len(x) // 4 for x in prefix])
+            row = np.repeat(np.arange(len(n)), length)
+            place = np.arange(len(row)) - (np.cumsum(length) - length)[row]
+            key = np.frombuffer(b"".join(prefix), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0).take(pa.array(row)), pa.array(n[row]), pa.array((n[row] - place).astype(np.int32))], names=["key", "id", "n", "rest"])
 
 
 def _exact(width: int, threshold: float):
@@ -191,29 +175,31 @@ def _exact(width: int, threshold: float):
     return run
 
 
-def classes_and_links(items: DataFrame, *, width: int = 5, threshold: float = 0.8, min_words: int = 30, common: float = 0.004) -> tuple[DataFrame, DataFrame]:
+def classes_and_links(items: DataFrame, *, width: int = 5, threshold: float = 0.8, min_words: int = 30) -> tuple[DataFrame, DataFrame]:
     """From (id, title, body): members (id, class) and links between classes (a < b, similarity).
 
     ``class`` is the least id of the records with the same set of runs. ``width`` and ``threshold`` are the
-    length of a run in words and the least similarity; the masks are laid out for thresholds of 0.5 and more.
+    length of a run in words and the least similarity, above 0.
     """
     items = spread(items.select("id", "title", "body"))
-    counts = items.mapInArrow(_bucket_counts(width, min_words), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    # one pass; -1 holds the number of records, the rest is summed for the average load of a bucket
-    load = {r.bucket: r.n for r in counts.collect()}
-    total = load.pop(-1, 0)
-    limit = sum(load.values()) / BUCKETS + max(common * total, 2)
-    often = np.array(sorted(k for k, n in load.items() if n > limit), dtype=np.int64)
-    sketched = written(items.mapInArrow(_sketches(width, min_words, often), "id bigint, one bigint, two bigint, n_runs int, sketch binary"), "sketches")
-    reps = sketched.groupBy("one", "two", "n_runs").agg(F.min("id").alias("class"), F.min("sketch").alias("sketch"))
+    counts = items.mapInArrow(_bucket_counts(width, min_words), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    load = np.zeros(BUCKETS, np.int64)
+    load[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    load = items.sparkSession.sparkContext.broadcast(load)
+    prefixed = written(items.mapInArrow(_prefixes(width, min_words, threshold, load), "id bigint, one bigint, two bigint, n_runs int, prefix binary"), "prefixes")
     keys = ["one", "two", "n_runs"]
-    members = sketched.select("id", *keys).join(reps.select(*keys, "class"), keys).select("id", "class")
-    rep = reps.select(F.col("class").alias("id"), "sketch")
-    hashed = rep.mapInArrow(_tables, "key bigint, id bigint")
-    x, y = hashed.select("key", F.col("id").alias("a")), hashed.select("key", F.col("id").alias("b"))
-    pairs = x.join(y, "key").where("a < b").select("a", "b").distinct()
-    near = pairs.join(rep.select(F.col("id").alias("a"), F.col("sketch").alias("s")), "a").join(rep.select(F.col("id").alias("b"), F.col("sketch").alias("t")), "b")
-    near = written(near.select("a", "b", "s", "t").mapInArrow(_within_radius, "a bigint, b bigint"), "candidates")
+    classes = prefixed.groupBy(*keys).agg(F.min("id").alias("class"))
+    members = prefixed.select("id", *keys).join(classes, keys).select("id", "class")
+    rep = prefixed.join(classes.select(F.col("class").alias("id")), "id", "left_semi").select("id", "n_runs", "prefix")
+    placed = rep.mapInArrow(_placed, "key int, id bigint, n int, rest int")
+    x, y = (placed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "rest")]) for side in "ab")
+    asked = (F.col("n_a") + F.col("n_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
+    beyond = [F.ceil(F.col(n) * F.lit(threshold) - F.lit(1e-9)) - 1 for n in ("n_a", "n_b")]
+    met = x.join(y, "key").where((F.col("id_a") < F.col("id_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(threshold) - F.lit(1e-6)))
+    met = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.least("rest_a", "rest_b") >= asked).alias("enough"), F.ceil(asked - F.greatest(*beyond)).cast("int").alias("need"))
+    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("enough").alias("enough"), F.max("need").alias("need"))
+    near = met.where(F.col("enough") & (F.col("n") >= F.col("need"))).select("a", "b")
+    near = written(near, "candidates")
     text = items.join(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     full = near.join(text.select(F.col("id").alias("a"), F.col("title").alias("ta"), F.col("body").alias("xa")), "a")
     full = full.join(text.select(F.col("id").alias("b"), F.col("title").alias("tb"), F.col("body").alias("xb")), "b")
