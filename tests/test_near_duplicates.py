@@ -50,3 +50,9 @@ def test_family_above_any_share_of_the_records_keeps_its_links(spark):
     want = _brute(records)
     assert len(want) > 200
     assert _pairs(spark, records) == want
+
+
+def test_families_are_found_alike_in_small_and_large_inputs(spark):
+    for n in (90, 600):
+        records = _records(random.Random(n), n, [3, 10, n // 3])
+        assert _pairs(spark, records) == _brute(records)
