@@ -14,7 +14,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", *, max_rounds: int
     Large-star and small-star steps in turn connect each node to the least node it knows; the number of
     rounds grows with the logarithm of the graph's diameter, not with the diameter. A round is two partial
     minima and two equi-joins on the node, so a hub costs one partial row per task and AQE splits its joins;
-    neighbours are never collected. Every round ends in a table in the shared folder.
+    neighbours are never collected. Every round ends in a table in the shared folder. A graph that is not
+    settled after ``max_rounds`` rounds (the last one must find nothing to move) is an error.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = written(e, "edges")
@@ -31,4 +32,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", *, max_rounds: int
         if now == mark:
             break
         mark = now
+    else:
+        raise RuntimeError(f"components are not settled after {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
