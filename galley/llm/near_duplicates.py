@@ -196,9 +196,10 @@ def classes_and_links(items: DataFrame, *, width: int = 5, threshold: float = 0.
     asked = (F.col("n_a") + F.col("n_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
     beyond = [F.ceil(F.col(n) * F.lit(threshold) - F.lit(1e-9)) - 1 for n in ("n_a", "n_b")]
     met = x.join(y, "key").where((F.col("id_a") < F.col("id_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(threshold) - F.lit(1e-6)))
-    met = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.least("rest_a", "rest_b") >= asked).alias("enough"), F.ceil(asked - F.greatest(*beyond)).cast("int").alias("need"))
-    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("enough").alias("enough"), F.max("need").alias("need"))
-    near = met.where(F.col("enough") & (F.col("n") >= F.col("need"))).select("a", "b")
+    met = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.when(F.least("rest_a", "rest_b") >= asked, (1 << 32) + 1).otherwise(1).alias("n"), F.ceil(asked - F.greatest(*beyond)).cast("int").alias("need"))
+    met = met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    # one number to shuffle: the low 32 bits count the runs in which a pair meets, the rest those with enough from there on
+    near = met.where((F.col("n") >= 1 << 32) & (F.col("n") % (1 << 32) >= F.col("need"))).select("a", "b")
     near = written(near, "candidates")
     text = items.join(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     full = near.join(text.select(F.col("id").alias("a"), F.col("title").alias("ta"), F.col("body").alias("xa")), "a")
