@@ -241,6 +241,16 @@ class Repairer:
                 elif right.isalnum() or b - a > 1 or left in ",;:>([":
                     yield a, b, gain, None, "lost", "inside"
 
+    def _alphabet(self, words: set[str]) -> dict[str, tuple[str, str]]:
+        """The readings of the words of one text by the chain that is likeliest for all of them."""
+        read: dict[str, dict[str, str]] = {}
+        for w in words:
+            for a, b, text in _swaps(w):
+                read.setdefault(f"{a}>{b}", {})[w] = text
+        total = {c: sum(self.model.score(" ", x.get(w, w).lower(), " ") for w in words) for c, x in read.items()}
+        best = max(total, key=total.get, default=None)
+        return {w: (t, best) for w, t in read[best].items()} if best else {}
+
     def _counts(self, p: tuple) -> bool:
         return p[2] > self.margins[p[5]]
 
@@ -253,21 +263,12 @@ class Repairer:
             return text, False, False, ""
         out, at, lost, chains = [], 0, False, Counter()
         passages = sorted(filter(self._counts, self.passages(text)), key=lambda p: p[:2])
-        # single words in another alphabet may have two readings; a text has one
-        alphabets: Counter = Counter()
-        for _, _, gain, _, chain, kind in passages:
-            if kind == "swap":
-                alphabets[chain] += gain
+        swapped = self._alphabet({text[p[0] : p[1]] for p in passages if p[5] == "swap"})
         for a, b, _, new, chain, kind in passages:
             if a < at:
                 continue
-            if kind == "swap":
-                chain = alphabets.most_common(1)[0][0]
-                codecs = chain.split(">")
-                try:
-                    new = decode(encode(text[a:b], codecs[0]), codecs[1])
-                except (UnicodeError, ValueError):
-                    pass
+            if kind == "swap" and text[a:b] in swapped:
+                new, chain = swapped[text[a:b]]
             chains[chain] += 1
             if new is None:
                 lost = True
