@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import encoding, garbled, near_duplicates, packing, repeated_lines, splitting
+from . import cut_texts, encoding, garbled, near_duplicates, packing, repeated_lines, splitting
 
-_MODULES = (repeated_lines, near_duplicates, encoding, packing, splitting, garbled)
+_MODULES = (repeated_lines, near_duplicates, encoding, packing, splitting, garbled, cut_texts)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}

@@ -339,7 +339,8 @@ def fit(records: list[str], seed: int = 7) -> tuple[CharModel, dict[str, float],
         options = sorted({1.0, *(v + 1e-6 for v in x), *(v - 1e-6 for v in y if v < 1e3)})
         wrong = [sum(v > m for v in x) + sum(v <= m for v in y) / max(1, len(y)) * max(1, len(x)) for m in options]
         among = [m for m, w in zip(options, wrong, strict=True) if w <= min(wrong) + 1e-9]
-        margins[kind] = max(1.0, (among[0] + among[-1]) / 2)
+        # where held-out records leave it open, a likelihood ratio of e^10 decides
+        margins[kind] = min(10.0, max(1.0, (among[0] + among[-1]) / 2))
     hit = lambda g: any(v > margins[k] for k, v in g.items())
     return model, margins, {"held_out_clean": len(good), "false": sum(map(hit, good)), "held_out_garbled": len(bad), "missed": sum(not hit(g) for g in bad)}
 
