@@ -10,12 +10,16 @@ from pyspark.sql import SparkSession
 
 from ..operators import instants
 from ..runtime import shared_dir
+from . import relations, texts
+
+_MODULES = (texts, relations)
 
 QUERIES = {
     "p3_found": instants.found,
     "p3_normalised": instants.normalised,
 }
-SQL: dict[str, str] = {}
+QUERIES |= {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
 
 
 def ship(spark: SparkSession, root: str) -> None:
