@@ -56,9 +56,9 @@ def assign_tiers(df: DataFrame, order: list[Column], cap: Column, sizes: tuple[i
     # features come from the first sizes[0] of cap 0, standard from the first sizes[0] + sizes[1] of caps 0 and 1
     top = capped.where("__cap < 2").orderBy(*order).limit(2 * sum(sizes)).unionAll(capped.where("__cap = 0").orderBy(*order).limit(sum(sizes))).distinct()
     tiers = _tiers(top, Window.orderBy(*order), Window.orderBy(*order), sizes, out)
-    keys = [c for c in df.columns]
-    same = [capped[k].eqNullSafe(tiers[k]) for k in keys]
-    return capped.join(tiers.select(*keys, out), same, "left").select(*[capped[k] for k in keys], F.coalesce(tiers[out], F.lit(LADDER[2])).alias(out))
+    other = tiers.select(*[F.col(c).alias(f"__{c}") for c in df.columns], out)
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in df.columns]
+    return df.join(other, same, "left").select(*df.columns, F.coalesce(out, F.lit(LADDER[2])).alias(out))
 
 
 def _tiers(df: DataFrame, w, w2, sizes: tuple[int, int], out: str) -> DataFrame:
