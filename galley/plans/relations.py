@@ -234,7 +234,7 @@ SQL = {
     "cross_run_dedup": f"with d as (select id, source_name, coalesce(parent_source, source_name) as parent, canonical_url as url, {_T.format('title')} as t from preprocessed_items left join (select source_name, parent_source from sources) using (source_name)), o as (select * from d where id % 4 <> 0) select id, source_name from d where id % 4 = 0 and not exists (select 1 from o where o.url = d.url and o.source_name is not distinct from d.source_name) and not exists (select 1 from o where o.url = d.url and o.parent = d.parent) and not exists (select 1 from o where o.t = d.t and length(d.t) >= 30)",
     "exact_dup_first": "select id, source_name, item_guid from raw_items qualify row_number() over (partition by source_name, item_guid order by collector_run_id, id) = 1",
     "snapshot_latest": "select user_id, event_type, event_id, epoch_us(ts)::bigint as ts_us from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1",
-    "as_of_latest": "with v as (select user_id, epoch_us(ts)::bigint as seen, max(value) as last_value from events where event_type = 'view' group by all), p as (select event_id, user_id, epoch_us(ts)::bigint as "at" from events where event_type = 'purchase') select event_id, p.user_id, p."at", last_value from p asof left join v on p.user_id = v.user_id and p."at" >= v.seen",
+    "as_of_latest": "with v as (select user_id, epoch_us(ts)::bigint as seen, max(value) as last_value from events where event_type = 'view' group by all), p as (select event_id, user_id, epoch_us(ts)::bigint as moment from events where event_type = 'purchase') select event_id, p.user_id, p.moment as \"at\", last_value from p asof left join v on p.user_id = v.user_id and p.moment >= v.seen",
     "host_cooldown": _COOL,
     "newly_cooled": "select distinct host, substr(status, 1, 1) as kind from article_texts where id % 50 = 1 and status in ('blocked', 'error') and (host, substr(status, 1, 1)) not in (select (host, substr(status, 1, 1)) from article_texts where id % 50 = 0 and status in ('blocked', 'error'))",
     "fetch_plan": _PLAN + " select * from plan",
