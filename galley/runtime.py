@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset (tests, a single machine) a temporary local folder is taken.
+    Only where that is unset and the executors are this machine (tests), a temporary local folder is taken.
     """
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="galley-")
         spark.sparkContext.setCheckpointDir(known)
     return known.rstrip("/")
