@@ -78,7 +78,7 @@ def similar_pairs(left: DataFrame, threshold: float, right: DataFrame | None = N
     # blocks of a cell meet each other once, so a hot cell is many tasks
     blocks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     x = home.select(F.col("id").alias("a"), F.col("v").alias("va"), "cell", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    y = guest.select(F.col("id").alias("b"), F.col("v").alias("vb"), "cell", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("block"))
+    y = guest.select(F.col("id").alias("b"), F.col("v").alias("vb"), "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
     met = x.join(y, ["cell", "block"])
     if one:
         met = met.where("a < b")

@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 
 from ..operators import instants
 from ..runtime import shared_dir
-from . import relations, texts
+from . import groups, relations, texts
 
-_MODULES = (texts, relations)
+_MODULES = (texts, relations, groups)
 
 QUERIES = {
     "p3_found": instants.found,
