@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 
 from ..operators import instants
 from ..runtime import shared_dir
-from . import groups, relations, texts
+from . import groups, protocols, relations, streams, texts
 
-_MODULES = (texts, relations, groups)
+_MODULES = (texts, relations, groups, protocols, streams)
 
 QUERIES = {
     "p3_found": instants.found,
