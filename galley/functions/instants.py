@@ -39,7 +39,7 @@ GENERIC = {"ET": "America/New_York", "CT": "America/Chicago", "MT": "America/Den
 
 CANONICAL = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z", re.ASCII)
 _ZONE = r"(?P<zone>\s*(?:[zZ]|[+\-−]\d{1,2}(?::?\d\d)?(?::?\d\d)?|(?:UTC|GMT)[+\-−]\d{1,2}(?::?\d\d)?|[A-Za-z]{2,5}))?(?P<name>\s*\[[A-Za-z_+\-/0-9]+\])?"
-_TIME = r"(?P<h>\d{1,2})(?::|\s?h\s?|時)(?P<mi>\d\d)分?(?:(?::(?P<s>\d\d)|(?P<s2>\d\d)秒)(?:[.,](?P<f>\d{1,12}))?)?(?:\s*(?P<ap>[aApP]\.?[mM](?![A-Za-z])\.?))?(?:\s*(?:Uhr|uhr)(?![A-Za-z]))?"
+_TIME = r"(?P<half>午前|午後)?\s?(?P<h>\d{1,2})(?::|\s?h\s?|時)(?P<mi>\d\d)分?(?:(?::(?P<s>\d\d)|(?P<s2>\d\d)秒)(?:[.,](?P<f>\d{1,12}))?)?(?:\s*(?P<ap>[aApP]\.?[mM](?![A-Za-z])\.?))?(?:\s*(?:Uhr|uhr)(?![A-Za-z]))?"
 _JOIN = r"(?:\s*[Tt]\s*|\s*,\s*|\s+)(?:(?:at|um|à|às|a las|alle|om|в|kl\.?)\s+)?"
 _WEEKDAY = r"(?:[^\W\d_]{2,12}\.?,?\s+)?"
 _PATTERNS = [
@@ -51,6 +51,10 @@ _PATTERNS = [
         rf"{_WEEKDAY}(?P<d>\d{{1,2}})(?:\.|er|re|st|nd|rd|th|º|°)?[\s-]+(?:de\s+|of\s+)?(?P<mon>[^\W\d_]{{3,12}})\.?,?[\s-]+(?:de\s+)?(?P<y>\d{{4}}|\d\d)(?:\s*г\.?)?{_JOIN}{_TIME}{_ZONE}",
         rf"{_WEEKDAY}(?P<mon>[^\W\d_]{{3,12}})\.?\s+(?P<d>\d{{1,2}})(?:st|nd|rd|th)?,?\s+(?P<y>\d{{4}}){_JOIN}{_TIME}{_ZONE}",
         rf"(?P<y>\d{{4}})年\s*(?P<mo>\d{{1,2}})月\s*(?P<d>\d{{1,2}})日(?:\s*[\(（].[\)）])?\s*{_TIME}{_ZONE}",
+        # ISO weeks, ordinal days, and hours alone
+        rf"(?P<y>\d{{4}})-?W(?P<week>\d\d)-?(?P<wd>[1-7])[Tt ](?P<h>\d\d):?(?P<mi>\d\d)(?::?(?P<s>\d\d)(?:[.,](?P<f>\d{{1,12}}))?)?{_ZONE}",
+        rf"(?P<y>\d{{4}})-?(?P<doy>\d{{3}})[Tt ](?P<h>\d\d):?(?P<mi>\d\d)(?::?(?P<s>\d\d)(?:[.,](?P<f>\d{{1,12}}))?)?{_ZONE}",
+        rf"(?P<y>\d{{4}})-(?P<mo>\d\d)-(?P<d>\d\d)[Tt](?P<h>\d\d){_ZONE}",
         # the form of C's ctime: Sat Oct 18 09:17:23 [zone] 2025
         rf"[A-Za-z]{{3,9}}\s+(?P<mon>[A-Za-z]{{3,9}})\s+(?P<d>\d{{1,2}})\s+(?P<h>\d\d):(?P<mi>\d\d):(?P<s>\d\d)(?P<zone>\s+[A-Z]{{2,5}}|\s+[+-]\d{{4}})?\s+(?P<y>\d{{4}})",
     )
@@ -102,12 +106,13 @@ def instant_ms(raw: str | None, zone: str | None, date_order: str | None) -> int
 
     ``zone`` (IANA) holds for a value without its own zone; without it such a value names no instant.
     ``date_order`` (dmy, mdy, ymd) orders all-digit dates that do not begin with the year; when it is
-    missing, such a date is read only if one order alone makes a date.
+    missing, such a date is read only if one order alone makes a date. Where a source's order is ymd, such a date
+    begins with a year of two digits, or, if it ends in one of four, is read as dmy. A second 60 is read as 59.
     """
     if raw is None:
         return None
     text = raw.translate(_DIGITS).strip().strip("\u200b\ufeff").replace("\u00a0", " ").replace("\u202f", " ")
-    if len(text) < 9 or not any(c.isdigit() for c in text):
+    if not any(c.isdigit() for c in text):
         return None
     m = _EPOCH.fullmatch(text)
     if m:
@@ -127,6 +132,10 @@ def instant_ms(raw: str | None, zone: str | None, date_order: str | None) -> int
 def _read(g: dict, home: str | None, order: str | None) -> int | None:
     year = int(g["y"])
     if len(g["y"]) == 2:
+        if order == "ymd" and g.get("a"):
+            if len(g["a"]) != 2:
+                return None
+            return _read({**g, "y": "20" + g["a"], "a": None, "mo": g["b"], "d": g["y"]}, home, order)
         year += 2000
     if g.get("mon"):
         month = MONTHS.get(g["mon"].lower())
@@ -143,13 +152,25 @@ def _read(g: dict, home: str | None, order: str | None) -> int | None:
             month, day = a, b
         else:
             return None
+    elif g.get("week") or g.get("doy"):
+        try:
+            at = datetime.fromisocalendar(year, int(g["week"]), int(g["wd"])) if g.get("week") else datetime(year, 1, 1) + timedelta(days=int(g["doy"]) - 1)
+        except ValueError:
+            return None
+        if g.get("doy") and at.year != year:
+            return None
+        year, month, day = at.year, at.month, at.day
     else:
         month, day = int(g["mo"]), int(g["d"])
-    hour, minute, second = int(g["h"]), int(g["mi"]), int(g.get("s") or g.get("s2") or 0)
+    hour, minute, second = int(g["h"]), int(g.get("mi") or 0), int(g.get("s") or g.get("s2") or 0)
     if g.get("ap"):
         if not 1 <= hour <= 12:
             return None
         hour = hour % 12 + (12 if g["ap"][0] in "pP" else 0)
+    if g.get("half"):
+        if hour > 12:
+            return None
+        hour = hour % 12 + (12 if g["half"] == "午後" else 0)
     try:
         if (hour, minute, second) == (24, 0, 0):
             at = datetime(year, month, day) + timedelta(days=1)

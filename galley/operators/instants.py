@@ -4,6 +4,8 @@ A value is parsed once for each (text, zone, date order) it occurs with, however
 dictionary is a Parquet table that grows by the values it does not know yet; rows get their instant by an
 equi-join on the three fields. Nothing is broadcast by force: the join is left to the adaptive planner, and
 since the dictionary has each key once, a hot value costs one dictionary row and a skewed side that AQE splits.
+The dictionary does not depend on the table it was filled from: it lies in the shared folder under the parser's version, and
+every run adds what it does not know yet. One run at a time may add to it.
 
 Defined cases: null, empty and senseless texts give null; a text without zone whose zone is unknown gives
 null; repeated rows keep their number; extra columns are kept, whatever their names.
@@ -11,7 +13,6 @@ null; repeated rows keep their number; extra columns are kept, whatever their na
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 from ..runtime import shared_dir, table
 
 KEY = ["raw", "zone", "date_order"]
+#: Changes whenever the parser reads a text otherwise; older dictionaries are then left alone.
+VERSION = 2
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in KEY] + [T.StructField("utc_ms", T.LongType())])
 
 
@@ -86,19 +89,33 @@ def is_canonical(raw: str | F.Column) -> F.Column:
     return F.col(raw).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}Z\z")
 
 
+def dictionary_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/instants-dictionary-{VERSION}"
+
+
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p3_found: the values that name an instant and are not canonical yet, with that instant."""
     rows = feed_times(spark, sf_dir).where(F.col("raw").isNotNull() & ~is_canonical("raw"))
-    path = f"{shared_dir(spark)}/instants-{uuid.uuid4().hex}"
-    d = update_dictionary(rows, path, exists=False).where(F.col("utc_ms").isNotNull())
+    d = update_dictionary(rows, dictionary_path(spark)).where(F.col("utc_ms").isNotNull())
     return with_instants(rows, d, "raw", "zone", "date_order", "utc_ms").where(F.col("utc_ms").isNotNull()).select("id", "field_name", "utc_ms")
 
 
 def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """p3_normalised: both times of every raw item as UTC instants, null where the text names none."""
     rows = feed_times(spark, sf_dir)
-    path = f"{shared_dir(spark)}/instants-{uuid.uuid4().hex}"
-    d = update_dictionary(rows.where(~is_canonical("raw")), path, exists=False)
-    ready = F.when(is_canonical("raw"), F.unix_millis(F.try_to_timestamp("raw")))
-    out = with_instants(rows.withColumn("__key", F.when(~is_canonical("raw"), F.col("raw"))), d, "__key", "zone", "date_order", "found_ms")
-    return out.select("id", "field_name", F.coalesce(ready, "found_ms").alias("utc_ms"))
+    open_ = F.col("raw").isNotNull() & ~is_canonical("raw")
+    d = update_dictionary(rows.where(open_), dictionary_path(spark))
+    # what needs no look-up does not join, so that canonical and null values are no hot key
+    ready = rows.where(~F.coalesce(open_, F.lit(False))).select("id", "field_name", F.unix_millis(F.try_to_timestamp("raw")).alias("utc_ms"))
+    return ready.unionByName(with_instants(rows.where(open_), d, "raw", "zone", "date_order", "utc_ms").select("id", "field_name", "utc_ms"))
+
+
+def readable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p3_iso: the instants of the values in the one notation that SQL reads by itself, for comparison with it."""
+    rows = feed_times(spark, sf_dir).where(F.col("raw").rlike(ISO))
+    d = update_dictionary(rows, dictionary_path(spark))
+    return with_instants(rows, d, "raw", "zone", "date_order", "utc_ms").select("id", "field_name", "utc_ms")
+
+
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(Z|[+-][0-9]{2}:[0-9]{2})$"
+ISO_SQL = f"""select id, f as field_name, epoch_ms(cast(raw as timestamptz)) as utc_ms from (select id, 'published_at' as f, published_at as raw from raw_items union all select id, 'fetched_at', fetched_at from raw_items) where regexp_matches(raw, '{ISO}')"""

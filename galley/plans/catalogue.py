@@ -17,9 +17,10 @@ _MODULES = (texts, relations, groups, protocols, streams)
 QUERIES = {
     "p3_found": instants.found,
     "p3_normalised": instants.normalised,
+    "p3_iso": instants.readable,
 }
 QUERIES |= {k: v for m in _MODULES for k, v in m.QUERIES.items()}
-SQL: dict[str, str] = {k: v for m in _MODULES for k, v in m.SQL.items()}
+SQL: dict[str, str] = {"p3_iso": instants.ISO_SQL} | {k: v for m in _MODULES for k, v in m.SQL.items()}
 
 
 def ship(spark: SparkSession, root: str) -> None:
