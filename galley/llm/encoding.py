@@ -88,16 +88,25 @@ def certain(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(ok) + 1
 
 
-def rolling_hits(points: np.ndarray, mask: int) -> np.ndarray:
-    """The places after which the hash of the last WINDOW code points has the landmark pattern."""
+def rolling(points: np.ndarray) -> np.ndarray:
+    """The hash of the last WINDOW code points at each place from WINDOW on."""
     n = len(points)
     if n <= WINDOW:
-        return np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.uint32)
     mixed = (points * np.uint32(0x9E3779B1)) ^ (points >> np.uint32(7))
-    rolling = mixed[WINDOW - 1 :].copy()
+    out = mixed[WINDOW - 1 :].copy()
     for j in range(1, WINDOW):
-        rolling += mixed[WINDOW - 1 - j : n - j] * np.uint32(pow(0x01000193, j, 1 << 32))
-    return np.flatnonzero(((rolling >> np.uint32(11)) & np.uint32(mask)) == 0) + WINDOW
+        out += mixed[WINDOW - 1 - j : n - j] * np.uint32(pow(0x01000193, j, 1 << 32))
+    return out
+
+
+def landmarks(hashes: np.ndarray, mask: int) -> np.ndarray:
+    """The places after which the rolling hash has the landmark pattern."""
+    return np.flatnonzero(((hashes >> np.uint32(11)) & np.uint32(mask)) == 0) + WINDOW
+
+
+def rolling_hits(points: np.ndarray, mask: int) -> np.ndarray:
+    return landmarks(rolling(points), mask)
 
 
 class ChunkEncoder:
@@ -210,9 +219,9 @@ def encoded(docs: DataFrame, id_col: str, text: str, *, name: str = "byte_bpe_50
 
 def _sizes(name: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkEncoder(name, folder)
+        encode = tokenizer(name, folder).encode_ordinary
         for b in batches:
-            n = [len(coder.ids(t)) for t in b.column(1).to_pylist()]
+            n = [len(encode(t)) if t else 0 for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], names=[b.schema.names[0], "n_tokens"])
 
     return run

@@ -20,7 +20,6 @@ are treated alike.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,14 +31,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import spread, table
-from .encoding import TOKENIZERS, ChunkEncoder, certain, code_points, rolling_hits, token_bytes
+from .encoding import SPACE, TOKENIZERS, _classes, certain, code_points, landmarks, rolling, token_bytes, tokenizer
 from .packing import budgets
 
 ANY, WORD, SENTENCE, PARAGRAPH = range(4)
 KINDS = ["any", "word", "sentence", "paragraph"]
-_PARAGRAPH = re.compile(r"(?<=\S)(?=[^\S\n]*\r?\n[^\S\n]*\r?\n)")
-_SENTENCE = re.compile(r"(?<=\S)(?=[^\S\n]*\n)|(?<=[.!?…])[\"”’»)\]]*(?=\s)|(?<=[。！？])[」』）]*(?=[^」』）])")
-_WORD = re.compile(r"(?<=\S)(?=\s)|(?<=[、，；])(?=\S)")
+_TERMINAL, _CLOSING = np.array([ord(c) for c in ".!?…"], np.uint32), np.array([ord(c) for c in "\"”’»“)]"], np.uint32)
+_EAST, _EAST_CLOSING, _EAST_PAUSE = (np.array([ord(c) for c in x], np.uint32) for x in ("。！？", "」』）", "、，；"))
+_LINE = np.uint32(10)
+
+
+def boundaries(points: np.ndarray) -> np.ndarray:
+    """The kind of cut that each place of a text allows, 0 where it is none."""
+    n = len(points)
+    level = np.zeros(n + 1, np.int8)
+    space = _classes()[points] == SPACE
+    starts = np.flatnonzero(space[1:] & ~space[:-1]) + 1  # where white space begins after something
+    level[starts] = WORD
+    if len(starts):
+        lines = np.concatenate(([0], np.cumsum(points == _LINE)))
+        after = np.flatnonzero(~space)
+        k = np.searchsorted(after, starts)
+        ends = np.where(k < len(after), after[np.minimum(k, len(after) - 1)], n)
+        breaks = lines[ends] - lines[starts]
+        last = starts - 1
+        for _ in range(4):  # closing signs after the end of a sentence
+            last = np.where((last > 0) & np.isin(points[last], _CLOSING), last - 1, last)
+        level[starts[np.isin(points[last], _TERMINAL) | (breaks >= 1)]] = SENTENCE
+        level[starts[breaks >= 2]] = PARAGRAPH
+    east = np.flatnonzero(np.isin(points, _EAST)) + 1
+    for _ in range(3):
+        east = np.where((east < n) & np.isin(points[np.minimum(east, n - 1)], _EAST_CLOSING), east + 1, east)
+    pause = np.flatnonzero(np.isin(points[:-1], _EAST_PAUSE)) + 1 if n else np.zeros(0, np.int64)
+    level[pause] = np.maximum(level[pause], WORD)
+    level[east] = np.maximum(level[east], SENTENCE)
+    level[0] = level[n] = 0
+    return level
 
 
 @lru_cache(maxsize=1)
@@ -52,13 +79,13 @@ class Splitter:
     """Pieces of one text after another."""
 
     def __init__(self, name: str = "byte_bpe_50k", folder: str = TOKENIZERS):
-        self.coder, self.name, self.folder = ChunkEncoder(name, folder), name, folder
+        self.encode, self.name, self.folder = tokenizer(name, folder).encode_ordinary, name, folder
 
     def pieces(self, text: str | None, limits: list[tuple[int, int]]) -> list[list[tuple[int, int, int, int, int, str]]]:
         """For each (limit, overlap): (start of the piece, start of its own stretch, end, tokens, tokens of overlap, kind of its end)."""
         if not text:
             return [[] for _ in limits]
-        ids = self.coder.ids(text)
+        ids = self.encode(text)
         n = len(ids)
         if all(n <= limit for limit, _ in limits):
             return [[(0, 0, len(text), n, 0, "end")] for _ in limits]
@@ -73,11 +100,8 @@ class Splitter:
             "at": np.searchsorted(ends, bytes_before, "right") - 1,
             "place": np.searchsorted(bytes_before, ends, "right") - 1,
         }
-        level = np.zeros(len(text) + 1, np.int8)
-        for kind, found in ((WORD, _WORD), (SENTENCE, _SENTENCE), (PARAGRAPH, _PARAGRAPH)):
-            places = [m.end() for m in found.finditer(text)]
-            level[places] = kind
-        known["level"] = level
+        known["level"] = boundaries(points)
+        known["hashes"] = rolling(points)
         return [[(0, 0, len(text), n, 0, "end")] if n <= limit else self._cut(known, limit, min(overlap, limit // 2)) for limit, overlap in limits]
 
     def _count(self, k: dict, a: int, b: int) -> int:
@@ -85,14 +109,14 @@ class Splitter:
         sure, at, text = k["sure"], k["at"], k["text"]
         i, j = int(np.searchsorted(sure, a)), int(np.searchsorted(sure, b, "right")) - 1
         if i > j:
-            return len(self.coder.encode(text[a:b]))
+            return len(self.encode(text[a:b]))
         x, y = int(sure[i]), int(sure[j])
-        return (len(self.coder.encode(text[a:x])) if a < x else 0) + int(at[y] - at[x]) + (len(self.coder.encode(text[y:b])) if y < b else 0)
+        return (len(self.encode(text[a:x])) if a < x else 0) + int(at[y] - at[x]) + (len(self.encode(text[y:b])) if y < b else 0)
 
     def _cut(self, k: dict, limit: int, overlap: int) -> list[tuple[int, int, int, int, int, str]]:
         text, at, place = k["text"], k["at"], k["place"]
         core = limit - overlap
-        marks = rolling_hits(k["points"], (1 << (core - 1).bit_length()) - 1)
+        marks = landmarks(k["hashes"], (1 << (core - 1).bit_length()) - 1)
         boundary = np.flatnonzero(k["level"] >= SENTENCE)
         out, own, begin = [], 0, 0
         while True:
