@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..runtime import spread, table, written
 
+#: A pair meets in its j-th common run with what is asked less j - 1 runs to go at least. So each of the first SLACK + 1 common runs
+#: of a true pair has what is asked less SLACK to go, and meetings with less need not leave the task in which they occur.
+SLACK = 8
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 
@@ -196,9 +199,11 @@ def classes_and_links(items: DataFrame, *, width: int = 5, threshold: float = 0.
     asked = (F.col("n_a") + F.col("n_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
     beyond = [F.ceil(F.col(n) * F.lit(threshold) - F.lit(1e-9)) - 1 for n in ("n_a", "n_b")]
     met = x.join(y, "key").where((F.col("id_a") < F.col("id_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(threshold) - F.lit(1e-6)))
-    met = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.when(F.least("rest_a", "rest_b") >= asked, (1 << 32) + 1).otherwise(1).alias("n"), F.ceil(asked - F.greatest(*beyond)).cast("int").alias("need"))
+    met = met.where(F.least("rest_a", "rest_b") >= asked - F.lit(SLACK))
+    need = F.least(F.ceil(asked - F.greatest(*beyond)), F.lit(SLACK + 1)).cast("int")
+    met = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.when(F.least("rest_a", "rest_b") >= asked, (1 << 32) + 1).otherwise(1).alias("n"), need.alias("need"))
     met = met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    # one number to shuffle: the low 32 bits count the runs in which a pair meets, the rest those with enough from there on
+    # one number to shuffle: the low 32 bits count the runs in which a pair meets (with SLACK), the rest those with enough from there on
     near = met.where((F.col("n") >= 1 << 32) & (F.col("n") % (1 << 32) >= F.col("need"))).select("a", "b")
     near = written(near, "candidates")
     text = items.join(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
