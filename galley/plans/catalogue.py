@@ -10,9 +10,9 @@ from pyspark.sql import SparkSession
 
 from ..operators import instants
 from ..runtime import shared_dir
-from . import groups, protocols, relations, streams, texts
+from . import editions, groups, protocols, quality, relations, streams, texts
 
-_MODULES = (texts, relations, groups, protocols, streams)
+_MODULES = (texts, relations, groups, protocols, streams, quality, editions)
 
 QUERIES = {
     "p3_found": instants.found,

@@ -77,10 +77,9 @@ def host_cooldown(spark, sf):
 
 
 def newly_cooled(spark, sf):
-    """Hosts with errors among the later attempts that had none among the earlier ones."""
-    a = table(spark, sf, "article_texts").select("host", "status", "id")
-    bad = lambda c: a.where(c).where("status in ('blocked', 'error')").select("host", F.substring("status", 1, 1).alias("kind")).distinct()
-    return bad("id % 50 = 1").join(bad("id % 50 = 0"), ["host", "kind"], "left_anti")
+    """Failures of a host, by answer, in the later attempts that it had not had in the earlier ones."""
+    a = table(spark, sf, "article_texts").where("status in ('blocked', 'error')").select("host", F.coalesce("http_status", F.lit(0)).alias("answer"), "id")
+    return a.where("id % 2 = 1").select("host", "answer").distinct().join(a.where("id % 2 = 0"), ["host", "answer"], "left_anti")
 
 
 def fetch_plan(spark, sf):
@@ -236,7 +235,7 @@ SQL = {
     "snapshot_latest": "select user_id, event_type, event_id, epoch_us(ts)::bigint as ts_us from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1",
     "as_of_latest": "with v as (select user_id, epoch_us(ts)::bigint as seen, max(value) as last_value from events where event_type = 'view' group by all), p as (select event_id, user_id, epoch_us(ts)::bigint as moment from events where event_type = 'purchase') select event_id, p.user_id, p.moment as \"at\", last_value from p asof left join v on p.user_id = v.user_id and p.moment >= v.seen",
     "host_cooldown": _COOL,
-    "newly_cooled": "select distinct host, substr(status, 1, 1) as kind from article_texts where id % 50 = 1 and status in ('blocked', 'error') and (host, substr(status, 1, 1)) not in (select (host, substr(status, 1, 1)) from article_texts where id % 50 = 0 and status in ('blocked', 'error'))",
+    "newly_cooled": "select distinct host, coalesce(http_status, 0)::int as answer from article_texts where id % 2 = 1 and status in ('blocked', 'error') except select host, coalesce(http_status, 0)::int from article_texts where id % 2 = 0 and status in ('blocked', 'error')",
     "fetch_plan": _PLAN + " select * from plan",
     "fetch_targets": _PLAN + " select host, count(*) as n_targets, row_number() over (order by count(*) desc, host)::int as place from plan where skip_reason is null group by host",
     "conditional_upsert": "with a as (select canonical_url, status, id from article_texts where id % 2 = 0 qualify row_number() over (partition by canonical_url order by id) = 1), b as (select canonical_url, status, id from article_texts where id % 2 = 1 qualify row_number() over (partition by canonical_url order by id) = 1) select coalesce(a.canonical_url, b.canonical_url) as canonical_url, case when b.id is null or (a.id is not null and b.status = 'skipped' and a.status <> 'skipped') then a.status else b.status end as status, case when b.id is null or (a.id is not null and b.status = 'skipped' and a.status <> 'skipped') then a.id else b.id end as id from a full join b on a.canonical_url = b.canonical_url",
