@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import events as s
+from ..streaming.memory import remember
 
 
 def stream_insert_once(spark, sf):
@@ -31,7 +32,13 @@ def stream_cooldowns(spark, sf):
     return d.select(F.unix_micros("window.start").alias("start_us"), "user_id", "n")
 
 
-QUERIES = {f.__name__: f for f in (stream_insert_once, stream_daily, stream_sessions, stream_cooldowns)}
+def stream_refetch(spark, sf):
+    """Events of each user that come at least 20 hours after the last one admitted."""
+    d = s.drained(remember(s.read_events(spark, sf).select("event_id", "user_id", "ts"), "user_id", "ts", 20 * 3600, "400 days"), what="memory")
+    return d.select("event_id", "user_id")
+
+
+QUERIES = {f.__name__: f for f in (stream_refetch, stream_insert_once, stream_daily, stream_sessions, stream_cooldowns)}
 SQL = {
     "stream_insert_once": "select distinct user_id, event_type from events",
     "stream_daily": "select epoch_us(date_trunc('day', ts))::bigint as day_us, event_type, count(*) as n from events group by all",
