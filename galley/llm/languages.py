@@ -67,6 +67,12 @@ def sentences(text: str) -> list[tuple[int, int]]:
 _NAME = re.compile(r"\b[A-ZÀ-ÞŠŽĆČА-ЯЁ][\w’'\-]*")
 
 
+def capitals(text: str) -> bool:
+    """Whether a text is written in capitals, small additions aside."""
+    big = sum(c.isupper() for c in text)
+    return big > 12 and big > 0.6 * sum(c.isalpha() for c in text)
+
+
 def bare(sentence: str) -> str:
     """A sentence without what it quotes, if enough is left to tell its language, and with X for names.
 
@@ -75,16 +81,17 @@ def bare(sentence: str) -> str:
     left = _QUOTED.sub(" ", sentence)
     if left != sentence and (len(_LOWER.findall(left)) >= 3 or sum("\u3040" <= c <= "\u9fff" for c in left) >= 4):
         sentence = left
-    if sentence.isupper():
+    if sentence.isupper() or capitals(sentence):
         return sentence.lower()
     start = len(sentence) - len(sentence.lstrip(" «“„\"‘"))
     return _NAME.sub(lambda m: m.group().lower() if m.start() == start and len(m.group()) <= 4 else "X", sentence)
 
 
-def whole(text: str) -> bool:
-    """Whether a segment is enough of a sentence to make an item mixed: names, credits and remains of cuts are not."""
+def whole(part: str, text: str) -> bool:
+    """Whether a segment is enough of a sentence to make an item mixed: names, credits and short remains of cuts are not."""
     words = _LOWER.findall(text)
-    return len(words) >= 3 or text.isupper() and len(text.split()) >= 4 or sum("\u3040" <= c <= "\u9fff" for c in text) >= 6
+    ended = part == "title" or re.search(r"[.!?…。！？][\"”’»“)\]]*$", text.rstrip()) is not None and "..." not in text[-8:]
+    return len(words) >= (3 if ended else 5) or capitals(text) and len(text.split()) >= 4 or sum("\u3040" <= c <= "\u9fff" for c in text) >= 6
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -218,7 +225,7 @@ class Judge:
         main = int(np.lexsort((score.sum(0), weight))[-1])
         # the more sentences, the likelier one of them deviates by chance
         other = score[np.arange(len(best)), best] - score[:, main] > self.margin + 0.5 * np.log(max(1.0, len(parts) / 8))
-        other &= np.array([whole(p[3]) for p in parts])
+        other &= np.array([whole(p[0], p[3]) for p in parts])
         lang = np.where(other, best, main)
         segments: list[list] = []
         for (part, start, end, _), code, row in zip(parts, lang.tolist(), score, strict=True):
@@ -280,8 +287,8 @@ def fit(labelled: list[tuple[str, str, str | None]], repair: tuple | None = None
         for i, r in zip(rng.integers(0, 1 << 30, take), rng.random(take), strict=True):
             pool = heads[k] if heads[k] and r < 0.25 else units[k]
             part = bare(_disturbed(rng, pool[i % len(pool)]))
-            if accented and i % 16 == 0:  # a word with foreign signs is no language
-                part = f"{part} – {accented[i // 16 % len(accented)]} X" if i % 32 else f"{accented[i // 16 % len(accented)]} {part}"
+            if accented and i % 8 == 0:  # a word with foreign signs is no language
+                part = f"{part} – {accented[i // 8 % len(accented)]} X" if i % 16 else f"{accented[i // 8 % len(accented)]} {part}"
             w = windows(part.encode("utf-8", "replace"))
             x.append(w[rng.integers(len(w))])
             y.append(np.eye(len(LANGUAGES), dtype=np.float32)[k] * 0.98 + 0.02 / len(LANGUAGES))
