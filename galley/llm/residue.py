@@ -3,7 +3,7 @@
 Two regularised logistic models on hashed features are trained here, on weak labels. The first judges units (titles, and
 the sentences and lines of a text) by word and character n-grams with names and numbers masked, by the length of unit and text and by
 whether it is a title. Its labels come from the records: those that a server answered with an error, or whose
-text is short or mostly made of phrases of such pages, against long texts that came well; a second round takes the
+text is mostly made of phrases of such pages or of stock lines that short texts of several hosts share, against texts that came well; a second round takes the
 labels that the first one gives. The second model judges every expression in brackets of template languages by its delimiters, its
 inside and what surrounds it; its labels are whether the same inside stands alone on some line or title.
 
@@ -160,18 +160,31 @@ class Judge:
             out.append("placeholder")
         if self.share(text) > 0.5:
             out.append("text")
-        if title and title.strip() and self.unit_score(title, 0, True) > 0:
+        # a title of question marks is lost text, not residue
+        if title and title.strip() and title.count("?") < 4 and self.unit_score(title, 0, True) > 0:
             out.append("title")
         return out
 
 
+def _stock(records: list[tuple], hosts: int = 3) -> set[str]:
+    """Units that short texts of several hosts have word for word, without a name: nobody reports the same thing so."""
+    where: dict[str, set] = {}
+    for host, _, _, text in records:
+        if len(text) < SHORT:
+            for u in units(text):
+                if len(u) < 120 and not re.search(r"[^\W\d_][^.!?]*? [A-ZÀ-ÞА-Я][^\W\d_A-ZÀ-ÞА-Я]", u):
+                    where.setdefault(_NUMBER.sub("0", u), set()).add(host)
+    return {u for u, h in where.items() if len(h) >= hosts}
+
+
 def _weak(records: list[tuple]) -> list[int | None]:
     """A first label for the text of each (host, http_status, title, text): 1 residue, 0 reporting, None undecided."""
     out: list[int | None] = []
+    stock = _stock(records)
     for _, code, _, text in records:
         us = units(text)
         size = sum(map(len, us)) or 1
-        seeded = sum(len(u) for u in us if SEEDS.search(u)) / size
+        seeded = sum(len(u) for u in us if SEEDS.search(u) or len(text) < SHORT and _NUMBER.sub("0", u) in stock) / size
         if len(text) < SHORT and (seeded > 0 and (code or 200) >= 400) or seeded > 0.6:
             out.append(1)
         elif len(text) >= SHORT and (code or 200) < 400 and seeded < 0.25 or seeded == 0 and (code or 200) < 400:
@@ -223,7 +236,8 @@ def fit(records: list[tuple[str | None, int | None, str | None, str | None]], *,
         if turn + 1 < rounds:
             for i in train:
                 s = judge.share(rows[i][3])
-                labels[i] = 1 if s > 0.7 else 0 if s < 0.3 else None
+                # what was undecided at first becomes reporting only if it is long
+                labels[i] = 1 if s > 0.7 or first[i] == 1 else 0 if s < 0.3 and (first[i] == 0 or len(rows[i][3]) >= SHORT) else None
     # expressions: an inside that stands alone somewhere is a placeholder's
     found = []
     alone: set[str] = set()
