@@ -260,4 +260,13 @@ with t as (
   select id_a, id_b from common join n a on a.id = id_a join n b on b.id = id_b where 2 * k >= a.n + b.n - k
 )
 """
-SQL = {"p6_found": _PAIRS_SQL + "select id_a, id_b from found"}
+_GROUPS_SQL = _PAIRS_SQL.replace("with t as", "with recursive t as", 1).rstrip() + """, k as (
+  select id, md5(string_agg(r, chr(0) order by r)) as h from s group by 1
+), c as (select id, min(id) over (partition by h) as class_id from k
+), l as (select id_a, id_b from found join c a on a.id = id_a and a.class_id = id_a join c b on b.id = id_b and b.class_id = id_b
+), w as (select id_a as a, id_b as b from l union select id_b, id_a from l
+), reach as (select a as node, a as seen from w union select reach.node, w.b from reach join w on reach.seen = w.a
+), g as (select node, min(seen) as group_id from reach group by 1), m as (select a, count(*) as n from w group by 1)
+select c.id, class_id, coalesce(group_id, class_id) as group_id, coalesce(n, 0)::bigint as n_links from c left join g on node = class_id left join m on a = class_id
+"""
+SQL = {"p6_found": _PAIRS_SQL + "select id_a, id_b from found", "p6_groups": _GROUPS_SQL}
