@@ -40,28 +40,44 @@ QUERIES = {
     "host_of": _q("raw_items", lambda d: d.select("id", u.host_of("original_url").alias("host"))),
     "canonical_url": _q("raw_items", lambda d: d.select("id", u.canonical_url("original_url").alias("url"))),
     "unwrap_redirect": _q("raw_items", lambda d: d.select("id", u.unwrap_redirect(F.concat(F.lit("https://redir.example/x/*"), "original_url")).alias("url"))),
-    "article_urls": _q("raw_items", lambda d: d.select("id", u.looks_like_article("original_url", ["paper11.example"]).alias("article"), u.has_segment("original_url", "live|liveblog|live-blog|live-updates?|live-news").alias("live"))),
+    "article_urls": _q("raw_items", lambda d: d.select("id", u.looks_like_article("original_url", ["paper11.example"]).alias("article"), u.has_segment("original_url", LIVE_SEGMENT).alias("live"))),
     "excluded_paths": _q("raw_items", lambda d: d.select("id", u.excluded_path("original_url", ["/", "/news/"]).alias("excluded"))),
     "url_shape_hist": _q("raw_items", lambda d: d.groupBy(u.first_segment("original_url").alias("segment")).agg(F.count(F.lit(1)).alias("n"))),
     "junk_filter": _q("preprocessed_items", lambda d: d.select("id", junk_reason("title", "body_text").alias("reason"))),
-    "live_blogs": _q("preprocessed_items", lambda d: d.select("id", F.coalesce(F.col("title").rlike(r"(?i)^\s*(?:live|en direct|direct)\b\s*[:,\-–—]|^\s*live blog\b|\blive updates?\b"), F.lit(False)).alias("live"))),
+    "live_blogs": _q("preprocessed_items", lambda d: d.select("id", F.coalesce(F.col("title").rlike(LIVE), F.lit(False)).alias("live"))),
     "lang_filter": _q("documents", lambda d: d.where("lang is not null").select("doc_id", (F.when(F.col("lang") == "en", True).otherwise(False)).alias("english"), F.substring("text", 1, 200).rlike(r"[\x{0400}-\x{04FF}\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}]").alias("other_script"))),
     "contains_newest": _q("preprocessed_items", lambda d: d.where(F.lower("title").contains("harbour")).select("id", "title", F.unix_millis("fetched_at").alias("fetched_ms")).orderBy(F.col("fetched_ms").desc_nulls_last(), "id").limit(20)),
 }
 
 
+#: Patterns of records without news, by reason, in the order in which they are tried, and of live blogs (fixed values).
+MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+CALENDAR = r"(?i)\bcalendar\b"
+GALLERY = r"(?i)\bphotos?\s+(of|from)\s+the\s+week\b"
+LISTING = r"(?i)^(things\s+to\s+do|what('s|\s+to)\s+(do|see))\s+(this|next|in)\b"
+HOUSE_AD = r"(?i)\b(member[\s-]supported|sustaining\s+member|donate\s+today)\b"
+DATE_ONLY = rf"(?i)^(?:{MONTHS})[a-z]*\.?\s+[0-9]{{1,2}},?\s+[0-9]{{4}}$|^[0-9]{{1,2}}\s+(?:{MONTHS})[a-z]*\.?\s+[0-9]{{4}}$"
+DIGEST = r"(?i)\ba curated\b[\w\s-]{0,20}\b(guide|roundup|list|digest)\b|\bcatch up on (today's|this week's|the week's)\b"
+LIVE = r"(?i)^\s*(?:live|en direct|direct)\b\s*[:,\-–—]|^\s*live blog\b|\blive updates?\b"
+LIVE_SEGMENT = "live|liveblog|live-blog|live-updates?|live-news"
+
+
 def junk_reason(title, body):
     """The first rule that a record without news matches; null if none does. A missing body is no sign."""
     title, body = F.coalesce(title, F.lit("")), F.coalesce(body, F.lit(""))
-    head, months = F.substring(body, 1, 600), "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
-    return (
-        F.when(title.rlike(r"(?i)\bcalendar\b") & title.rlike("[0-9]"), "event-calendar")
-        .when(title.rlike(r"(?i)\bphotos?\s+(of|from)\s+the\s+week\b"), "photo-gallery")
-        .when(title.rlike(r"(?i)^(things\s+to\s+do|what('s|\s+to)\s+(do|see))\s+(this|next|in)\b"), "events-listing")
-        .when((body != "") & (F.length(body) <= 400) & body.rlike(r"(?i)\b(member[\s-]supported|sustaining\s+member|donate\s+today)\b"), "house-ad")
-        .when(F.trim(title).rlike(rf"(?i)^(?:{months})[a-z]*\.?\s+[0-9]{{1,2}},?\s+[0-9]{{4}}$|^[0-9]{{1,2}}\s+(?:{months})[a-z]*\.?\s+[0-9]{{4}}$"), "link-dump-digest")
-        .when(head.rlike(r"(?i)\ba curated\b[\w\s-]{0,20}\b(guide|roundup|list|digest)\b|\bcatch up on (today's|this week's|the week's)\b"), "link-dump-digest")
-    )
+    short = (body != "") & (F.length(body) <= 400)
+    rules = [
+        ("event-calendar", title.rlike(CALENDAR) & title.rlike("[0-9]")),
+        ("photo-gallery", title.rlike(GALLERY)),
+        ("events-listing", title.rlike(LISTING)),
+        ("house-ad", short & body.rlike(HOUSE_AD)),
+        ("link-dump-digest", F.trim(title).rlike(DATE_ONLY) | F.substring(body, 1, 600).rlike(DIGEST)),
+    ]
+    return F.coalesce(*[F.when(match, reason) for reason, match in rules])
+
+
+def _sql(pattern):
+    return pattern.replace("'", "''")
 
 
 _TITLE = r"trim(regexp_replace(lower({}), '[\s\x{{00a0}}]+', ' ', 'g'))"
@@ -73,7 +89,6 @@ _HOST = f"case when {_ISURL} then regexp_replace(lower(regexp_replace(regexp_rep
 _ECHO = r"trim(regexp_replace(regexp_replace(lower(" + _TIDY + r"), '[\s\-–—|]*\b[\w-]+\.(com|org|net|gov|co\.uk|io)\s*$', ''), '\s*[-–—|]\s*[^\-–—|.!?]{{1,30}}\s*$', ''))"
 _TRACK = ", ".join(f"'{x}'" for x in u.TRACKING)
 _WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda w: length(w) >= 5))"
-_MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
 _HTML = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(body, '<(script|style|figure|noscript)\b.*?</(script|style|figure|noscript)\s*>', ' ', 'gis'), '<br\s*/?>', chr(10), 'gi'), '</(p|div|h[1-6]|li|tr|blockquote|section|article)\s*>', chr(10) || chr(10), 'gi'), '<[^>]*>', '', 'gs'), '&nbsp;', ' ', 'g')"""
 for _e, _s in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&mdash;", "—"), ("&eacute;", "é"), ("&#8220;", "“"), ("&amp;", "&")):
     _HTML = f"replace({_HTML}, '{_e}', '{_s}')"
@@ -101,12 +116,10 @@ SQL = {
     "article_urls": rf"with x as (select id, original_url as o, {_HOST.format('original_url', 'original_url')} as h, {_PART.format('original_url', 3)} as p from raw_items) select id, coalesce(regexp_matches(lower(o), '^https?://[^/?#\s]+') and length(regexp_replace(p, '/+$', '')) > 1 and not regexp_matches(regexp_replace(p, '/+$', ''), '(?i)\.(jpg|jpeg|png|gif|webp|svg|ico|css|js|json|xml|pdf|mp4|mp3|woff2?|ttf)$') and h <> 'paper11.example' and h not like '%.paper11.example', false) as article, coalesce(len(list_filter(string_split(p, '/'), lambda v: regexp_matches(v, '(?i)^(?:live|liveblog|live-blog|live-updates?|live-news)$'))) > 0, false) as live from x",
     "excluded_paths": f"select id, coalesce({_ISURL.format('original_url')} and regexp_replace({_PART.format('original_url', 3)}, '/+$', '') in ('', '/news'), false) as excluded from raw_items",
     "url_shape_hist": f"select coalesce(nullif(string_split({_PART.format('original_url', 3)}, '/')[2], ''), '/') as segment, count(*) as n from raw_items group by 1",
-    "junk_filter": rf"""with x as (select id, coalesce(title, '') as t, coalesce(body_text, '') as b from preprocessed_items) select id, case when regexp_matches(t, '(?i)\bcalendar\b') and regexp_matches(t, '[0-9]') then 'event-calendar'
-      when regexp_matches(t, '(?i)\bphotos?\s+(of|from)\s+the\s+week\b') then 'photo-gallery' when regexp_matches(t, '(?i)^(things\s+to\s+do|what(''s|\s+to)\s+(do|see))\s+(this|next|in)\b') then 'events-listing'
-      when b <> '' and length(b) <= 400 and regexp_matches(b, '(?i)\b(member[\s-]supported|sustaining\s+member|donate\s+today)\b') then 'house-ad'
-      when regexp_matches(trim(t), '(?i)^(?:{_MONTHS})[a-z]*\.?\s+[0-9]{{1,2}},?\s+[0-9]{{4}}$|^[0-9]{{1,2}}\s+(?:{_MONTHS})[a-z]*\.?\s+[0-9]{{4}}$') then 'link-dump-digest'
-      when regexp_matches(substr(b, 1, 600), '(?i)\ba curated\b[\w\s-]{{0,20}}\b(guide|roundup|list|digest)\b|\bcatch up on (today''s|this week''s|the week''s)\b') then 'link-dump-digest' end as reason from x""",
-    "live_blogs": r"select id, coalesce(regexp_matches(title, '(?i)^\s*(?:live|en direct|direct)\b\s*[:,\-–—]|^\s*live blog\b|\blive updates?\b'), false) as live from preprocessed_items",
+    "junk_filter": f"""with x as (select id, coalesce(title, '') as t, coalesce(body_text, '') as b from preprocessed_items) select id, case when regexp_matches(t, '{CALENDAR}') and regexp_matches(t, '[0-9]') then 'event-calendar'
+      when regexp_matches(t, '{GALLERY}') then 'photo-gallery' when regexp_matches(t, '{_sql(LISTING)}') then 'events-listing' when b <> '' and length(b) <= 400 and regexp_matches(b, '{HOUSE_AD}') then 'house-ad'
+      when regexp_matches(trim(t), '{DATE_ONLY}') or regexp_matches(substr(b, 1, 600), '{_sql(DIGEST)}') then 'link-dump-digest' end as reason from x""",
+    "live_blogs": f"select id, coalesce(regexp_matches(title, '{LIVE}'), false) as live from preprocessed_items",
     "lang_filter": r"select doc_id, lang = 'en' as english, regexp_matches(substr(text, 1, 200), '[\x{0400}-\x{04FF}\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}]') as other_script from documents where lang is not null",
     "contains_newest": "select id, title, (epoch_us(fetched_at) // 1000)::bigint as fetched_ms from preprocessed_items where contains(lower(title), 'harbour') order by fetched_at desc nulls last, id limit 20",
 }

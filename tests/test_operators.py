@@ -203,3 +203,14 @@ def test_as_of_and_failure_runs(spark):
     assert {(x.k, x.at): x.val for x in h.as_of(left, right, "k", "at", "since", ["val"]).collect()} == {("a", 1): None, ("a", 5): "y", ("b", 5): None}
     d = spark.createDataFrame([("a", i, f) for i, f in enumerate([True, True, False, True])], "k string, i int, f boolean")
     assert [(x.run, x.tripped) for x in h.failure_runs(d, ["k"], [F.col("i")], F.col("f"), 2).orderBy("i").collect()] == [(1, False), (2, True), (0, True), (1, True)]
+
+
+def test_records_without_news(spark):
+    from galley.plans.texts import junk_reason
+
+    rows = [
+        ("Explore calendar May 30-June", None, "event-calendar"), ("Photos of the week", None, "photo-gallery"), ("Things to do this weekend", None, "events-listing"), ("A title", "This member-supported station. Donate today.", "house-ad"),
+        ("A title", "Donate today. " + "x" * 400, None), ("August 10, 2026", None, "link-dump-digest"), ("10 August 2026", None, "link-dump-digest"), ("A title", "A curated weekday guide to the news", "link-dump-digest"), ("August 10 vote", None, None), (None, None, None),
+    ]
+    d = spark.createDataFrame(rows, "t string, b string, want string").select("want", junk_reason(F.col("t"), F.col("b")).alias("got"))
+    assert all(x.want == x.got for x in d.collect())
