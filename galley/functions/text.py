@@ -139,3 +139,26 @@ def parse_vector(text: Column | str) -> Column:
 def reading_minutes(words: Column | str, per_minute: int = 230, least: int = 100) -> Column:
     w = col(words)
     return F.when(w >= least, F.greatest(F.lit(1), F.round(w / per_minute).cast("int")))
+
+
+def response_class(code: Column | str, content_type: Column | str, chars: Column | str, least: int = 1200) -> Column:
+    """blocked (401, 403, 429), error (no answer, another failure, or no HTML), thin (less text than ``least``) or ok. A missing content type may be HTML."""
+    c, kind = col(code), col(content_type)
+    html = F.coalesce(F.lower(kind).rlike(r"^\s*(text/html|application/xhtml\+xml)\b"), F.lit(True))
+    return F.when(c.isin(401, 403, 429), "blocked").when(c.isNull() | ~c.between(200, 299) | ~html, "error").when(F.coalesce(col(chars), F.lit(0)) < least, "thin").otherwise("ok")
+
+
+def failure_kind(message: Column | str) -> Column:
+    """auth before rate, then budget, then transport; other failures are permanent. Null is none."""
+    m = F.lower(col(message))
+    return (
+        F.when(m.rlike(r"\b(401|403)\b|unauthori[sz]ed|forbidden|invalid api key"), "auth")
+        .when(m.rlike(r"\b429\b|rate.?limit|too many requests|overloaded"), "rate")
+        .when(m.rlike(r"max_tokens|budget|length limit"), "budget")
+        .when(m.rlike(r"econnreset|econnrefused|socket|network|timed? ?out|\b50[0234]\b"), "transport")
+        .when(m.isNotNull(), "permanent")
+    )
+
+
+def is_retryable(message: Column | str) -> Column:
+    return F.coalesce(failure_kind(message).isin("rate", "transport"), F.lit(False))

@@ -37,6 +37,8 @@ QUERIES = {
         .where("title is not null and text is not null")
         .select("id", t.shares_words("title", "text").alias("matches"), F.size(t.long_words("title", 5)).alias("n_words"))
     ),
+    "response_class": _q("article_texts", lambda d: d.select("id", t.response_class("http_status", F.when(F.col("detail") == "not html", "application/pdf"), "text_chars").alias("class"))),
+    "failure_kinds": _q("article_texts", lambda d: d.where("status in ('blocked', 'error')").select("id", t.failure_kind(F.concat_ws(" ", "detail", "http_status")).alias("kind"), t.is_retryable(F.concat_ws(" ", "detail", "http_status")).alias("retry"))),
     "host_of": _q("raw_items", lambda d: d.select("id", u.host_of("original_url").alias("host"))),
     "canonical_url": _q("raw_items", lambda d: d.select("id", u.canonical_url("original_url").alias("url"))),
     "unwrap_redirect": _q("raw_items", lambda d: d.select("id", u.unwrap_redirect(F.concat(F.lit("https://redir.example/x/*"), "original_url")).alias("url"))),
@@ -108,6 +110,8 @@ SQL = {
     "html_to_text": rf"select id, nullif(regexp_replace(regexp_replace(regexp_replace({_HTML}, '[ \t]*\n[ \t]*', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g'), '') as text from raw_items",
     "vector_parse": "select vec_id, round(list_sum(list_transform(embedding, lambda x: x::double)), 4) as total from embeddings",
     "title_page_match": f"with x as (select id, {_WORDS.format('title')} as w, {_WORDS.format('text')} as p from article_texts where title is not null and text is not null) select id, case when len(w) < 3 then true else len(list_intersect(w, p)) / len(w) >= 0.2 end as matches, len(w)::int as n_words from x",
+    "response_class": "select id, case when http_status in (401, 403, 429) then 'blocked' when http_status is null or http_status not between 200 and 299 or detail is not distinct from 'not html' then 'error' when coalesce(text_chars, 0) < 1200 then 'thin' else 'ok' end as class from article_texts",
+    "failure_kinds": r"with m as (select id, lower(concat_ws(' ', detail, http_status)) as m from article_texts where status in ('blocked', 'error')), k as (select id, case when regexp_matches(m, '\b(401|403)\b|unauthori[sz]ed|forbidden|invalid api key') then 'auth' when regexp_matches(m, '\b429\b|rate.?limit|too many requests|overloaded') then 'rate' when regexp_matches(m, 'max_tokens|budget|length limit') then 'budget' when regexp_matches(m, 'econnreset|econnrefused|socket|network|timed? ?out|\b50[0234]\b') then 'transport' else 'permanent' end as kind from m) select id, kind, kind in ('rate', 'transport') as retry from k",
     "host_of": "select id, " + _HOST.format("original_url", "original_url") + " as host from raw_items",
     "canonical_url": f"""with x as (select id, original_url as o, lower({_PART.format('original_url', 1)}) as s, lower({_PART.format('original_url', 2)}) as h, {_PART.format('original_url', 3)} as p, regexp_replace({_PART.format('original_url', 4)}, '^\\?', '') as q, {_PART.format('original_url', 5)} as f, {_ISURL.format('original_url')} as ok from raw_items
       ), y as (select *, case when s = 'http' then regexp_replace(h, ':80$', '') when s = 'https' then regexp_replace(h, ':443$', '') else h end as h2, regexp_replace(regexp_replace(p, '^/amp/', '/'), '/amp$', '') as p2, array_to_string(list_filter(string_split(q, '&'), lambda v: v <> '' and string_split(v, '=')[1] not in ({_TRACK})), '&') as k from x)
