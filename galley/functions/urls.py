@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,3 +80,68 @@ def excluded_path(url: Column | str, paths: list[str]) -> Column:
     tidy = [p.rstrip("/") or "/" for p in paths]
     path = F.regexp_replace(path_of(url), r"/+$", "")
     return F.coalesce(is_url(url) & F.when(path == "", "/").otherwise(path).isin(tidy), F.lit(False))
+
+
+def token_url(token: str | None, own_host: str | None = None) -> str | None:
+    """The address inside an opaque token: URL-safe base64 of length-delimited fields, one of which, at any depth, is an address; none of ``own_host``."""
+    if not token:
+        return None
+    try:
+        data = base64.urlsafe_b64decode(token + "=" * (-len(token) % 4))
+    except ValueError:
+        return None
+    found = _field_url(data, 0)
+    if found and own_host and found.split("/")[2].lower().endswith(own_host):
+        return None
+    return found
+
+
+def _varint(data: bytes, i: int) -> tuple[int, int] | None:
+    value = shift = 0
+    while i < len(data) and shift < 64:
+        value |= (data[i] & 0x7F) << shift
+        i += 1
+        if data[i - 1] < 0x80:
+            return value, i
+        shift += 7
+    return None
+
+
+def _field_url(data: bytes, depth: int) -> str | None:
+    i = 0
+    while i < len(data) and depth < 4:
+        if (key := _varint(data, i)) is None:
+            return None
+        kind, i = key[0] & 7, key[1]
+        if kind == 0:
+            if (skipped := _varint(data, i)) is None:
+                return None
+            i = skipped[1]
+        elif kind == 2:
+            if (size := _varint(data, i)) is None or size[1] + size[0] > len(data):
+                return None
+            part, i = data[size[1] : size[1] + size[0]], size[1] + size[0]
+            if part.startswith((b"http://", b"https://")):
+                return part.decode("utf-8", "replace")
+            if (inner := _field_url(part, depth + 1)) is not None:
+                return inner
+        elif kind in (1, 5):
+            i += 8 if kind == 1 else 4
+        else:
+            return None
+    return None
+
+
+def decoded_token(token: Column | str, own_host: str) -> Column:
+    @F.pandas_udf("string")
+    def decode(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: token_url(x, own_host) if isinstance(x, str) else None)
+
+    return decode(col(token))
+
+
+def resolved(token: Column | str, redirect: Column | str, page: Column | str, own_host: str) -> Column:
+    """The first address that looks like an article: inside the token, where a redirect led, or the first in the page."""
+    ok = lambda c: F.when(looks_like_article(c, [own_host]), c)
+    inside = F.filter(F.regexp_extract_all(col(page), F.lit(r"(https?://[^\s\"'<>]+)"), 1), lambda x: looks_like_article(x, [own_host]))
+    return F.coalesce(ok(decoded_token(token, own_host)), ok(col(redirect)), F.get(inside, F.lit(0)))

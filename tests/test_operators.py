@@ -214,3 +214,19 @@ def test_records_without_news(spark):
     ]
     d = spark.createDataFrame(rows, "t string, b string, want string").select("want", junk_reason(F.col("t"), F.col("b")).alias("got"))
     assert all(x.want == x.got for x in d.collect())
+
+
+def test_tokens_and_resolution(spark):
+    import base64
+
+    def token(url):
+        inner = b"\x08\x01" + b"\x12" + bytes([len(url)]) + url.encode()
+        return base64.urlsafe_b64encode(b"\x22" + bytes([len(inner)]) + inner).decode().rstrip("=")
+
+    assert u.token_url(token("https://a.example/story")) == "https://a.example/story"
+    assert u.token_url(token("https://feed.example/x"), "feed.example") is None
+    assert u.token_url("!!") is None and u.token_url("") is None and u.token_url(None) is None and u.token_url("AAAA") is None
+    page = "see https://feed.example/a and https://b.example/ then https://b.example/story.html"
+    rows = [(token("https://a.example/story"), None, None), (token("https://feed.example/x"), "https://c.example/z", page), (None, "https://c.example/", page), (None, None, None)]
+    d = spark.createDataFrame(rows, "t string, r string, p string").select(u.resolved("t", "r", "p", "feed.example").alias("x"))
+    assert [x.x for x in d.collect()] == ["https://a.example/story", "https://c.example/z", "https://b.example/story.html", None]
