@@ -32,6 +32,7 @@ from .training import sample
 
 BITS = 18
 TRAINING_ROWS, TRAINING_CHARS = 4000, 2500
+_SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BITS)
 SHORT = 700
 
 #: Phrases that make a unit suspect when weak labels are given; the model generalises from them.
@@ -63,17 +64,25 @@ def _hash(x: str) -> int:
 
 def unit_features(unit: str, total: int, title: bool, names: bool = True) -> np.ndarray:
     """Slots of the features of a unit, given the length of its whole text."""
-    m = masked(unit, names)
-    words = re.findall(r"\w+|[^\w\s]", m)
-    out = [_hash(f"w {w}") for w in words] + [_hash(f"b {a} {b}") for a, b in zip(words, words[1:])]
+    return _features(masked(unit, names), total, title)
+
+
+_TOKEN = re.compile(r"\w+|[^\w\s]")
+
+
+def _features(m: str, total: int, title: bool) -> np.ndarray:
+    words = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in _TOKEN.findall(m)], np.uint64)
+    parts = [words * _SPREAD >> _SHIFT]
+    if len(words) > 1:
+        parts.append((words[:-1] * np.uint64(31_337) + words[1:] + np.uint64(1)) * _SPREAD >> _SHIFT)
     if len(m) >= 4:
         p = np.frombuffer(m.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         h = ((p[:-3] * np.uint64(31_337) + p[1:-2]) * np.uint64(31_337) + p[2:-1]) * np.uint64(31_337) + p[3:]
-        out += ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64).tolist()
-    out += [_hash(f"l {min(len(m) // 25, 6)}"), _hash(f"t {title}"), _hash(f"n {title} {min(len(words), 8)}")]
+        parts.append(h * _SPREAD >> _SHIFT)
+    few = [_hash(f"l {min(len(m) // 25, 6)}"), _hash(f"t {title}"), _hash(f"n {title} {min(len(words), 8)}")]
     if not title:
-        out.append(_hash(f"a {min(int(np.log2(total + 1)), 11)}"))
-    return np.unique(np.array(out, np.int64))
+        few.append(_hash(f"a {min(total.bit_length(), 12)}"))
+    return np.unique(np.concatenate([*parts, np.array(few, np.uint64)])).astype(np.int64)
 
 
 def expression_features(text: str, start: int, end: int) -> np.ndarray:
@@ -133,12 +142,13 @@ class Judge:
         self.known: dict = {}
 
     def unit_score(self, unit: str, total: int, title: bool = False) -> float:
-        key = (masked(unit), min(int(np.log2(total + 1)), 11), title)
+        m = masked(unit)
+        key = (m, total.bit_length(), title)
         x = self.known.get(key)
         if x is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            x = self.known[key] = self.unit.score(unit_features(unit, total, title))
+            x = self.known[key] = self.unit.score(_features(m, total, title))
         return x
 
     def share(self, text: str) -> float:
@@ -217,7 +227,7 @@ def fit(records: list[tuple[str | None, int | None, str | None, str | None]], *,
             if labels[i] is None:
                 continue
             for u in units(text):
-                k = (masked(u), min(int(np.log2(len(text) + 1)), 11), False)
+                k = (masked(u), min(len(text).bit_length(), 12), False)
                 feats.setdefault(k, [u, len(text), 0, 0])[2 + labels[i]] += 1
             if title and title.strip():
                 # the headline over a residue page is mostly a real one
