@@ -1,9 +1,10 @@
 """Similarity of vectors: exact joins and searches above a threshold without comparing all with all.
 
-Vectors are normalised and fall to the nearest of some pivots. By the triangle inequality on angles, two vectors within an
-angle of each other meet in the cell of either: a vector is compared in its own cell, and is a guest in every cell whose
-radius, widened by that angle, reaches it. Cells are joined by equality, and a large one is split into blocks that meet each other once, so that
-no task holds a whole cell. The result is exact whatever the pivots are; they decide only how much is compared.
+Rows of one vector are one class, and only classes are compared. They are dealt to groups of bounded size, and each pair of groups meets in one
+task, which holds one of them and reads the other. The held group falls to the nearest of some pivots: by the triangle inequality on angles, a
+vector is compared only with the pivots' cells whose radius, widened by the angle of the threshold, reaches it. Products of matrices in single precision,
+with their bound of error, tell which pairs are worth the exact product. The result is exact whatever groups and pivots are; they decide only how much
+is compared. The rows of the classes come in at the end, and only as far as they are asked for.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from ..runtime import written
 from .graph import components
 
 PIVOTS = 32
+#: Bytes of the vectors that a task holds, and classes from which on a table is dealt to more groups.
+HELD, DEALT = 32_000_000, 2000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -36,53 +39,123 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(n > 0, dot(a, b) / n)
 
 
-def normalised(df: DataFrame, vector: str) -> DataFrame:
-    """Vectors of length 1; zero and null vectors are left out."""
-    n = norm(F.col(vector))
-    return df.withColumn("__n", n).where("__n > 0").withColumn(vector, F.transform(vector, lambda x: x.cast("double") / F.col("__n"))).drop("__n")
-
-
-def _cells(shared, guests: bool, angle: float):
+def classes(df: DataFrame) -> DataFrame:
+    """id, class, n, v of the rows of (id, v) but zero and null vectors: rows of one vector have one class, v stands at one of them, beside the number of them."""
+    rows = df.select("id", "v").where(norm(F.col("v")) > 0).withColumn("uid", F.monotonically_increasing_id())
+    same = Window.partitionBy(F.xxhash64("v"), "v")
+    rows = rows.withColumn("class", F.min("uid").over(same)).withColumn("n", F.count(F.lit(1)).over(same))
+    return written(rows.select("id", "class", "n", F.when(F.col("uid") == F.col("class"), F.col("v")).alias("v")), "classes")
+
+
+def _dealt(members: DataFrame) -> tuple[DataFrame, int]:
+    """(class, v, group) of the classes, and the number of groups."""
+    firsts = members.where("v is not null").select("class", "v")
+    n, size = firsts.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    groups = max(1, min(6, n // DEALT), -(-n * (size or 0) * 8 // HELD))
+    return firsts.withColumn("group", F.pmod(F.xxhash64("class"), F.lit(groups)).cast("int")), groups
+
+
+def _unit(column: pa.Array) -> np.ndarray:
+    """The vectors of a list column, of length 1; sums run from the first coordinate to the last as in ``dot``."""
+    v = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
+    return v / np.sqrt(_products(v, v))[:, None]
+
+
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        out += x[:, k] * y[:, k]
+    return out
+
+
+class _Held:
+    """The classes of one group in the cells of their pivots."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], threshold: float, pivots: int):
+        self.ids, self.v, self.threshold = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), threshold
+        self.pivots = self.v[:pivots]
+        self.reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
+        # what rounding to single precision and summing in it can take from a product of vectors of length 1
+        self.least = np.float32(threshold - 1.3e-7 * (self.v.shape[1] + 8))
+        at = self._angles(self.v)
+        own = at.argmin(1)
+        self.cells = []
+        for c in range(len(self.pivots)):
+            rows = np.flatnonzero(own == c)
+            for part in (rows[i : i + 4096] for i in range(0, len(rows), 4096)):
+                self.cells.append((c, part, self.v[part].astype(np.float32), at[part, c].max()))
+
+    def _angles(self, v: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(v @ self.pivots.T, -1, 1))
+
+    def meet(self, ids: np.ndarray, v: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Class, class and similarity of the pairs; of one group with itself every pair once. What is not a number counts as similar, as in SQL."""
+        at, single = self._angles(v), v.astype(np.float32)
+        for c, part, held, radius in self.cells:
+            near = np.flatnonzero(~(at[:, c] > radius + self.reach))
+            for rows in (near[i : i + 1024] for i in range(0, len(near), 1024)):
+                p, q = np.nonzero(~(held @ single[rows].T < self.least))
+                p, q = part[p], rows[q]
+                if same:
+                    keep = self.ids[p] <= ids[q]
+                    p, q = p[keep], q[keep]
+                for i in range(0, len(p), 50_000):
+                    x, y = p[i : i + 50_000], q[i : i + 50_000]
+                    s = _products(self.v[x], v[y])
+                    keep = ~(s < self.threshold)
+                    yield self.ids[x][keep], ids[y][keep], s[keep]
+
+
+def _met(threshold: float, one: bool, pivots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, radius = shared.value
+        at, parts, held = None, [], None
         for b in batches:
-            v = np.stack([np.asarray(x, np.float64) for x in b.column(1).to_pylist()]) if b.num_rows else np.zeros((0, pivots.shape[1]))
-            at = np.arccos(np.clip(v @ pivots.T, -1, 1))
-            own = at.argmin(1)
-            if not guests:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.astype(np.int32)), pa.array(at[np.arange(len(own)), own])], names=["id", "v", "cell", "angle"])
-                continue
-            row, cell = np.nonzero(at <= radius[None] + angle + 1e-9)
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(row)) for c in b.columns] + [pa.array(cell.astype(np.int32))], names=["id", "v", "cell"])
+            cell, side, ids = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()
+            starts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (side[1:] != side[:-1])]) if len(cell) else []
+            for s, e in zip(starts, [*starts[1:], len(cell)], strict=True):
+                if cell[s] != at:
+                    at, parts, held = cell[s], [], None
+                v = _unit(b.column(3).slice(s, e - s))
+                if side[s] == 0:
+                    parts.append((ids[s:e], v))
+                elif parts:
+                    held = held or _Held(parts, threshold, pivots)
+                    for x, y, similarity in held.meet(ids[s:e], v, one and side[s] == 1):
+                        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(similarity)], names=["x", "y", "similarity"])
 
     return run
 
 
+def class_pairs(left: DataFrame, threshold: float, right: DataFrame | None = None, *, pivots: int = PIVOTS) -> DataFrame:
+    """x, y, similarity of all pairs of classes with at least this cosine, from tables of ``classes``: within one table (each pair once, and every class with itself), or between two."""
+    x, groups = _dealt(left)
+    if right is None:
+        # side 1 is the held group itself, side 2 another
+        others = F.sequence(F.lit(0), F.lit(groups - 1))
+        held = x.select(F.explode(F.filter(others, lambda k: k >= F.col("group"))).alias("k"), (F.col("group") * groups + F.col("k")).alias("cell"), F.lit(0).alias("side"), "class", "v")
+        read = x.select(F.explode(F.filter(others, lambda k: k <= F.col("group"))).alias("k"), (F.col("k") * groups + F.col("group")).alias("cell"), F.when(F.col("k") == F.col("group"), 1).otherwise(2).alias("side"), "class", "v")
+        cells = groups * groups
+    else:
+        y, many = _dealt(right)
+        held = x.select(F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("k"), (F.col("group") * many + F.col("k")).alias("cell"), F.lit(0).alias("side"), "class", "v")
+        read = y.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("k"), (F.col("k") * many + F.col("group")).alias("cell"), F.lit(2).alias("side"), "class", "v")
+        cells = groups * many
+    met = held.drop("k").unionAll(read.drop("k")).repartition(cells, "cell").sortWithinPartitions("cell", "side")
+    return written(met.mapInArrow(_met(threshold, right is None, pivots), "x bigint, y bigint, similarity double"), "pairs")
+
+
 def similar_pairs(left: DataFrame, threshold: float, right: DataFrame | None = None, *, pivots: int = PIVOTS) -> DataFrame:
     """a, b, similarity of all pairs with at least this cosine, from (id, v): within one table (a < b), or between two."""
-    spark = left.sparkSession
     one = right is None
-    left = normalised(left.select("id", "v"), "v")
-    right = left if one else normalised(right.select("id", "v"), "v")
-    chosen = left.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()  # a bounded number
-    kind = left.schema["id"].dataType.simpleString()
-    if not chosen:
-        return spark.createDataFrame([], f"a {kind}, b {kind}, similarity double")
-    p = np.stack([np.asarray(r.v, np.float64) for r in chosen])
-    home = written(left.mapInArrow(_cells(spark.sparkContext.broadcast((p, None)), False, 0.0), f"id {kind}, v array<double>, cell int, angle double"), "cells")
-    radius = np.full(len(p), -10.0)
-    for r in home.groupBy("cell").agg(F.max("angle").alias("r")).collect():
-        radius[r.cell] = r.r
-    angle = math.acos(max(-1.0, min(1.0, threshold)))
-    guest = right.mapInArrow(_cells(spark.sparkContext.broadcast((p, radius)), True, angle), f"id {kind}, v array<double>, cell int")
-    # blocks of a cell meet each other once, so a hot cell is many tasks
-    blocks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    x = home.select(F.col("id").alias("a"), F.col("v").alias("va"), "cell", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    y = guest.select(F.col("id").alias("b"), F.col("v").alias("vb"), "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
-    met = x.join(y, ["cell", "block"])
-    if one:
-        met = met.where("a < b")
-    return met.select("a", "b", dot(F.col("va"), F.col("vb")).alias("similarity")).where(F.col("similarity") >= threshold)
+    left = classes(left)
+    right = left if one else classes(right)
+    pairs = class_pairs(left, threshold, None if one else right, pivots=pivots)
+    pairs = pairs.join(left.select(F.col("class").alias("x"), F.col("id").alias("a")), "x").join(right.select(F.col("class").alias("y"), F.col("id").alias("b")), "y")
+    if not one:
+        return pairs.select("a", "b", "similarity")
+    # of two classes both orders of rows come once, of one class only a < b
+    pairs = pairs.where((F.col("a") < F.col("b")) | (F.col("x") != F.col("y")) & (F.col("a") != F.col("b")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
 
 
 def top_edges(pairs: DataFrame, k: int) -> DataFrame:

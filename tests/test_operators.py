@@ -166,6 +166,45 @@ def test_similar_pairs_against_all_pairs(spark):
     assert v.similar_pairs(d.limit(0), 0.8).count() == 0
 
 
+def _copied(spark, n=40, copies=9):
+    """(id, v) with ids that go round and round over the vectors, and all cosines."""
+    import numpy as np
+
+    x = np.random.default_rng(5).normal(size=(n, 6))
+    x[7] = 0
+    x = np.concatenate([x] * copies + [x[:1]] * 60 + [np.random.default_rng(6).normal(size=(20, 6))])
+    m = np.linalg.norm(x, axis=1)
+    with np.errstate(invalid="ignore"):
+        c = x @ x.T / m[:, None] / m[None]
+    return spark.createDataFrame([(i, q.tolist()) for i, q in enumerate(x)], "id bigint, v array<double>"), c
+
+
+def test_similar_pairs_compare_copies_once(spark):
+    d, c = _copied(spark)
+    want = sorted((i, j) for i in range(len(c)) for j in range(i + 1, len(c)) if c[i, j] >= 0.7)
+    assert sorted((q.a, q.b) for q in v.similar_pairs(d, 0.7).collect()) == want
+    members = v.classes(d)
+    assert members.where("v is not null").count() == 59
+    # what is compared follows the vectors and not their copies
+    met = v.class_pairs(members, 0.7)
+    assert met.count() < len(want) / 30 and met.count() == met.select("x", "y").distinct().count()
+
+
+def test_groups_meet_whatever_their_number(spark, monkeypatch):
+    d, c = _copied(spark)
+    want = sorted((i, j) for i in range(len(c)) for j in range(i + 1, len(c)) if c[i, j] >= 0.7)
+    monkeypatch.setattr(v, "HELD", 700)  # five groups
+    assert sorted((q.a, q.b) for q in v.similar_pairs(d, 0.7, pivots=3).collect()) == want
+    between = sorted((q.a, q.b) for q in v.similar_pairs(d.where("id % 3 = 0"), 0.7, d.where("id % 3 > 0")).collect())
+    assert between == sorted((i, j) if i % 3 == 0 else (j, i) for i, j in want if (i % 3 == 0) != (j % 3 == 0))
+
+
+def test_vectors_of_single_precision_and_no_number(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [float("nan"), 1.0]), (5, None)]
+    d = spark.createDataFrame(rows, "id bigint, v array<float>")
+    assert sorted((q.a, q.b) for q in v.similar_pairs(d, 0.5).collect()) == [(1, 2), (1, 4), (2, 4), (3, 4)]
+
+
 def test_cohesion(spark):
     def density(edges):
         e = spark.createDataFrame(edges, "a bigint, b bigint")
