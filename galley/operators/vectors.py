@@ -158,6 +158,24 @@ def similar_pairs(left: DataFrame, threshold: float, right: DataFrame | None = N
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
 
 
+def nearest_later(df: DataFrame, threshold: float, k: int) -> DataFrame:
+    """What ``top_edges`` gives for the ``similar_pairs`` of (id, v), without all pairs of rows: of each class, a row meets the first k rows after it."""
+    members = classes(df)
+    pairs = class_pairs(members, threshold)
+    pairs = pairs.unionAll(pairs.where("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "similarity"))
+    rows = members.select("id", "class", "n")
+    asked = pairs.join(rows.select(F.col("class").alias("x"), F.col("id").alias("a")), "x").select(F.col("y").alias("class"), "a", "similarity")
+    # classes of one row are met as they are
+    single = asked.join(rows.where("n = 1").select("class", F.col("id").alias("b")), "class").where("a < b").select("a", "b", "similarity")
+    several = rows.where("n > 1").select("class", F.col("id").alias("at"), F.lit(None).cast("double").alias("similarity"), F.lit(0).alias("asks"))
+    asked = asked.join(several.select("class").distinct(), "class", "left_semi").select("class", F.col("a").alias("at"), "similarity", F.lit(1).alias("asks"))
+    upto = F.sum(1 - F.col("asks")).over(Window.partitionBy("class").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0))
+    placed = written(several.unionAll(asked).withColumn("place", upto), "places")
+    asked = placed.where("asks = 1").select("class", F.col("at").alias("a"), "similarity", F.explode(F.sequence(F.col("place") + 1, F.col("place") + k)).alias("place"))
+    met = asked.join(placed.where("asks = 0").select("class", "place", F.col("at").alias("b")), ["class", "place"]).select("a", "b", "similarity")
+    return top_edges(single.unionAll(met), k)
+
+
 def top_edges(pairs: DataFrame, k: int) -> DataFrame:
     """Of each a, the k most similar b (later ids only compete for the places of earlier ones)."""
     rn = F.row_number().over(Window.partitionBy("a").orderBy(F.col("similarity").desc(), "b"))

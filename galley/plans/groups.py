@@ -139,7 +139,7 @@ def similar_pairs(spark, sf):
 
 
 def topk_edges(spark, sf):
-    return v.top_edges(v.similar_pairs(_vectors(spark, sf), THRESHOLD), K).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    return v.nearest_later(_vectors(spark, sf), THRESHOLD, K).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 def _edges(spark, sf):

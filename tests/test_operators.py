@@ -205,6 +205,15 @@ def test_vectors_of_single_precision_and_no_number(spark):
     assert sorted((q.a, q.b) for q in v.similar_pairs(d, 0.5).collect()) == [(1, 2), (1, 4), (2, 4), (3, 4)]
 
 
+@pytest.mark.parametrize("k", [1, 5])
+def test_nearest_later_rows_among_copies(spark, k):
+    d, c = _copied(spark)
+    # copies of one vector are equally near, whatever the last digit
+    want = {(i, j) for i in range(len(c)) for j in sorted((j for j in range(i + 1, len(c)) if c[i, j] >= 0.7), key=lambda j: (-round(c[i, j], 9), j))[:k]}
+    got = [(q.a, q.b) for q in v.nearest_later(d, 0.7, k).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_cohesion(spark):
     def density(edges):
         e = spark.createDataFrame(edges, "a bigint, b bigint")
