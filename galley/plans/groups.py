@@ -143,7 +143,7 @@ def topk_edges(spark, sf):
 
 
 def _edges(spark, sf):
-    return written(v.top_edges(v.similar_pairs(_vectors(spark, sf), THRESHOLD), K).select("a", "b"), "edges")
+    return written(v.nearest_later(_vectors(spark, sf), THRESHOLD, K).select("a", "b"), "edges")
 
 
 def components(spark, sf):
