@@ -176,6 +176,16 @@ def nearest_later(df: DataFrame, threshold: float, k: int) -> DataFrame:
     return top_edges(single.unionAll(met), k)
 
 
+def linked(df: DataFrame, threshold: float) -> DataFrame:
+    """a, b of edges that connect what the ``similar_pairs`` of (id, v) connect, for thresholds below 1: one edge a row and one a pair of classes."""
+    members = classes(df)
+    pairs = class_pairs(members, threshold)
+    first = members.where("v is not null").select("class", F.col("id").alias("first"))
+    stars = members.join(first, "class").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    between = pairs.where("x <> y").join(first.select(F.col("class").alias("x"), F.col("first").alias("a")), "x").join(first.select(F.col("class").alias("y"), F.col("first").alias("b")), "y")
+    return stars.unionAll(between.select("a", "b")).where("a <> b")
+
+
 def top_edges(pairs: DataFrame, k: int) -> DataFrame:
     """Of each a, the k most similar b (later ids only compete for the places of earlier ones)."""
     rn = F.row_number().over(Window.partitionBy("a").orderBy(F.col("similarity").desc(), "b"))

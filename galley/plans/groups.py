@@ -173,7 +173,7 @@ def proto_groups(spark, sf):
     edges = _edges(spark, sf)
     held = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     single = _vectors(spark, sf).join(held, "id", "left_anti")
-    return v.groups_of(v.similar_pairs(single, 0.3).select("a", "b")).select(F.col("node").alias("vec_id"), "component")
+    return v.groups_of(v.linked(single, 0.3)).select(F.col("node").alias("vec_id"), "component")
 
 
 def max_pairwise_topk(spark, sf):

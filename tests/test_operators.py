@@ -214,6 +214,12 @@ def test_nearest_later_rows_among_copies(spark, k):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_linked_rows_are_those_of_similar_pairs(spark):
+    d, _ = _copied(spark)
+    one, other = (sorted(map(tuple, v.groups_of(e).collect())) for e in (v.linked(d, 0.8), v.similar_pairs(d, 0.8).select("a", "b")))
+    assert one == other and len({q[1] for q in one}) > 5
+
+
 def test_cohesion(spark):
     def density(edges):
         e = spark.createDataFrame(edges, "a bigint, b bigint")
