@@ -186,6 +186,16 @@ def linked(df: DataFrame, threshold: float) -> DataFrame:
     return stars.unionAll(between.select("a", "b")).where("a <> b")
 
 
+def best_of_labels(left: DataFrame, right: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """a, component, similarity: of each row of (id, v) the component (node, component) whose best member in the other table is nearest; the least component where several tie at 6 digits."""
+    left, right = classes(left), classes(right)
+    of = right.join(labels.withColumnRenamed("node", "id"), "id").select(F.col("class").alias("y"), "component").distinct()
+    best = class_pairs(left, threshold, right).join(of, "y").groupBy("x", "component").agg(F.max("similarity").alias("similarity"))
+    order = [F.round("similarity", 6).desc(), F.col("component")]
+    rows = top_k(best, "x", order, 1).drop("rn").join(left.select(F.col("class").alias("x"), F.col("id").alias("a")), "x")
+    return top_k(rows, "a", order, 1).select("a", "component", "similarity")
+
+
 def top_edges(pairs: DataFrame, k: int) -> DataFrame:
     """Of each a, the k most similar b (later ids only compete for the places of earlier ones)."""
     rn = F.row_number().over(Window.partitionBy("a").orderBy(F.col("similarity").desc(), "b"))

@@ -200,9 +200,7 @@ def attach_singletons(spark, sf):
     labels = written(v.components(edges), "labels")
     single = _vectors(spark, sf).join(labels.select(F.col("node").alias("id")), "id", "left_anti")
     members = _vectors(spark, sf).join(labels.select(F.col("node").alias("id")), "id", "left_semi")
-    pairs = v.similar_pairs(single, 0.3, members).join(labels.withColumnRenamed("node", "b"), "b")
-    best = pairs.groupBy("a", "component").agg(F.max("similarity").alias("similarity"))
-    return v.top_k(best, "a", [F.round("similarity", 6).desc(), F.col("component")], 1).select(F.col("a").alias("vec_id"), "component", F.round("similarity", 6).alias("similarity"))
+    return v.best_of_labels(single, members, labels, 0.3).select(F.col("a").alias("vec_id"), "component", F.round("similarity", 6).alias("similarity"))
 
 
 def vector_norms(spark, sf):

@@ -220,6 +220,22 @@ def test_linked_rows_are_those_of_similar_pairs(spark):
     assert one == other and len({q[1] for q in one}) > 5
 
 
+def test_best_of_labels_against_all_rows(spark):
+    d, c = _copied(spark)
+    n, label = len(c), lambda i: (i * 7 + i // 40) % 11
+    labels = spark.createDataFrame([(i, label(i)) for i in range(n) if i % 2], "node bigint, component bigint")
+    want = {}
+    for i in range(0, n, 2):
+        best = {}
+        for j in range(1, n, 2):
+            if c[i, j] >= 0.6:
+                best[label(j)] = max(best.get(label(j), -1), round(c[i, j], 6))
+        if best:
+            want[i] = min(best, key=lambda g: (-best[g], g))
+    got = v.best_of_labels(d.where("id % 2 = 0"), d.where("id % 2 = 1"), labels, 0.6).collect()
+    assert {q.a: q.component for q in got} == want and len(got) == len(want)
+
+
 def test_cohesion(spark):
     def density(edges):
         e = spark.createDataFrame(edges, "a bigint, b bigint")
