@@ -328,8 +328,7 @@ def trained(spark: SparkSession, sf_dir: str, *, training_rows: int = TRAINING_R
     """Fits on at most ``training_rows`` labelled documents, and the repair of encodings on as many items."""
     docs = sample(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "title").where("lang is not null"), "doc_id", training_rows, {"text": 2500, "title": 300})
     items = table(spark, sf_dir, "preprocessed_items").select("id", "title", "body_text")
-    model, margins, _ = garbled.trained(items, "id", ["title", "body_text"])
-    model.known.clear()
+    model, margins = garbled.trained(items, ["title", "body_text"])
     return fit([(r.text, r.lang, r.title) for r in docs], (model, margins))
 
 

@@ -69,3 +69,24 @@ def test_table(spark):
     assert [tuple(r) for r in g.garbled(rows, "id", ["title", "body"], model, margins).collect()] == [(1, "title")] * 2
     assert [tuple(r) for r in g.garbled(rows, "id", ["title", "body"], model, margins, full=True).collect()] == [(1, "title", "café", False, "cp1252>utf-8")] * 2
     assert g.garbled(rows.limit(0), "id", ["title", "body"], *g.fit([])[:2]).count() == 0
+
+
+def test_all_rows_are_counted_whole(spark):
+    rng = random.Random(8)
+    texts = [" ".join(_texts(rng, 40)) + f" Ort Nr. {i}: Żagań 🙂" * (i % 50 == 0) for i in range(400)]
+    texts += [g.spoilt(t, ("utf-8", "cp1252")) or t for t in texts[:40]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, body string").repartition(7)
+    model, margins = g.trained(rows, ["body"])
+    clean = g.Clean()
+    clean.alphabet = g.ASCII.union(*map(clean.undoubted, texts))
+    want = {}
+    for t in texts:
+        if clean(t) and not g.held_out(t):
+            for x in g.styles(t):
+                x = "\n\n\n" + x + "\n"
+                for n in range(1, 5):
+                    for i in range(4 - n, len(x) - n + 1):
+                        want[x[i : i + n]] = want.get(x[i : i + n], 0) + 1
+    assert model.counts == {k: v for k, v in want.items() if v > 1 or len(k) < 3}
+    one = g.fit(texts)
+    assert model.counts == one[0].counts and model.kinds == one[0].kinds and margins == pytest.approx(one[1], abs=0.02)
