@@ -6,8 +6,12 @@ softmax over the languages. It is trained here, in numpy, on windows of labelled
 windows that hold nothing but them and numbers are trained towards no language at all, so that a name decides nothing. A segment has the mean
 log-probability of its windows. What stands in quotation marks inside a sentence counts only where little else is left.
 
+The training starts on a bounded number of windows. A pass over all documents goes on from there: every window of their whole texts is judged, and those
+whose language the network does not know surely yet take it further. Tasks do so apart, and the mean of their networks, by windows, is the network. An eighth
+of the documents, by hash, is held out from both.
+
 The language of an item is that of most of its bytes. A segment in another language is one whose evidence against the language of the rest
-is above a margin, which is validated on held-out documents with and without a foreign sentence and grows with the logarithm of the number of sentences. Passages in the
+is above a margin, which is validated on all held-out documents with and without a foreign sentence and grows with the logarithm of the number of sentences. Passages in the
 wrong encoding are restored before.
 
 A pure map after training, over whole texts. Defined cases: null and empty texts have no segments, and an item without
@@ -17,7 +21,10 @@ ignored; a text of any length is judged whole.
 
 from __future__ import annotations
 
+import functools
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import spread, table
 from . import garbled
-from .training import sample
+from .training import sample, summed
 
 LANGUAGES = ("en", "fr", "de", "es", "pt", "it", "nl", "ru", "ja")
 #: ISO 639-2 codes of these languages (fixed values).
@@ -36,7 +43,11 @@ WINDOW, DIM = 96, 8
 WIDTHS = ((2, 12), (3, 20), (4, 28), (5, 36))
 WIDEST = max(w for w, _ in WIDTHS)
 FILTERS = sum(n for _, n in WIDTHS)
+#: Bounds of the start of the training; the pass after it has none.
 TRAINING_ROWS, TRAINING_WINDOWS, EPOCHS = 4000, 26_000, 5
+#: From this probability on a window's language is known, and the window takes the network no further.
+KNOWN = 0.9
+RATE, BATCH, UNIT = 0.0005, 128, 1 << 20
 
 _END = re.compile(r"(?<=[.!?…])[\"”’»“)\]]*\s+|(?<=[。！？])(?![」』）])\s*|\n+")
 _QUOTED = re.compile(r"“[^“”]{1,400}”|«[^«»]{1,400}»|„[^„“”]{1,400}[“”]|\"[^\"]{1,400}\"|「[^「」]{1,400}」")
@@ -67,10 +78,20 @@ def sentences(text: str) -> list[tuple[int, int]]:
 _NAME = re.compile(r"\b[A-ZÀ-ÞŠŽĆČА-ЯЁ][\w’'\-]*")
 
 
+@functools.cache
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point, whether it is a capital letter, and a letter."""
+    return tuple(np.array([f(chr(c)) for c in range(0x110000)]) for f in (str.isupper, str.isalpha))
+
+
 def capitals(text: str) -> bool:
     """Whether a text is written in capitals, small additions aside."""
-    big = sum(c.isupper() for c in text)
-    return big > 12 and big > 0.6 * sum(c.isalpha() for c in text)
+    if len(text) <= 12:
+        return False
+    upper, alpha = _letters()
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    big = int(np.count_nonzero(upper[codes]))
+    return big > 12 and big > 0.6 * int(np.count_nonzero(alpha[codes]))
 
 
 def bare(sentence: str) -> str:
@@ -135,45 +156,69 @@ class Network:
             out[s : s + block] = z - np.log(np.exp(z).sum(1, keepdims=True))
         return out
 
+    PARAMS = ("e", "w", "b", "v", "c")
+    SIZE = 256 * DIM + WIDEST * DIM * FILTERS + FILTERS + FILTERS * len(LANGUAGES) + len(LANGUAGES)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([getattr(self, k).ravel() for k in self.PARAMS])
+
+    def take(self, flat: np.ndarray) -> None:
+        at = 0
+        for k in self.PARAMS:
+            value = getattr(self, k)
+            setattr(self, k, flat[at : at + value.size].astype(np.float32).reshape(value.shape))
+            at += value.size
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rng: np.random.Generator) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy with the distributions ``y``, windows weighted."""
+        places, n = WINDOW - WIDEST + 1, len(x)
+        patches = self._patches(x)
+        conv = (patches @ self.w).reshape(n, places, FILTERS)
+        at = conv.argmax(1)
+        h = np.take_along_axis(conv, at[:, None], 1)[:, 0] + self.b
+        a = np.maximum(h, 0)
+        keep = (rng.random(a.shape) < 0.8).astype(np.float32) / 0.8
+        z = (a * keep) @ self.v + self.c
+        z -= z.max(1, keepdims=True)
+        p = np.exp(z)
+        p /= p.sum(1, keepdims=True)
+        dz = (p - y) * weight[:, None] / n
+        dh = (dz @ self.v.T) * keep * (h > 0)
+        where = (np.arange(n)[:, None] * places + at).ravel()
+        chosen = patches[where].reshape(n, FILTERS, -1)
+        dw = np.einsum("nf,nfk->kf", dh, chosen, optimize=True) * self.mask
+        dpatch = (dh[:, :, None] * self.w.T[None]).reshape(n * FILTERS, WIDEST, DIM)
+        de = np.zeros_like(self.e)
+        signs = x[np.repeat(np.arange(n), FILTERS)[:, None], at.ravel()[:, None] + np.arange(WIDEST)].ravel()
+        for j in range(DIM):
+            de[:, j] = np.bincount(signs, weights=dpatch[:, :, j].ravel(), minlength=256)
+        de[0] = 0
+        return {"e": de, "w": dw, "b": dh.sum(0), "v": (a * keep).T @ dz, "c": dz.sum(0)}
+
     def train(self, x: np.ndarray, y: np.ndarray, epochs: int, seed: int = 4, rate: float = 0.004) -> None:
         """Adam on the cross-entropy with the distributions ``y``."""
-        rng = np.random.default_rng(seed)
-        params = ["e", "w", "b", "v", "c"]
-        first, second, step = {p: np.zeros_like(getattr(self, p)) for p in params}, {p: np.zeros_like(getattr(self, p)) for p in params}, 0
-        places = WINDOW - WIDEST + 1
+        rng, adam, weight = np.random.default_rng(seed), Adam(self), np.ones(BATCH, np.float32)
         for epoch in range(epochs):
             order = rng.permutation(len(x))
-            for s in range(0, len(order), 128):
-                rows = order[s : s + 128]
-                xb, yb, n = x[rows], y[rows], len(rows)
-                patches = self._patches(xb)
-                conv = (patches @ self.w).reshape(n, places, FILTERS)
-                at = conv.argmax(1)
-                h = np.take_along_axis(conv, at[:, None], 1)[:, 0] + self.b
-                a = np.maximum(h, 0)
-                keep = (rng.random(a.shape) < 0.8).astype(np.float32) / 0.8
-                z = (a * keep) @ self.v + self.c
-                z -= z.max(1, keepdims=True)
-                p = np.exp(z)
-                p /= p.sum(1, keepdims=True)
-                dz = (p - yb) / n
-                dh = (dz @ self.v.T) * keep * (h > 0)
-                where = (np.arange(n)[:, None] * places + at).ravel()
-                chosen = patches[where].reshape(n, FILTERS, -1)
-                dw = np.einsum("nf,nfk->kf", dh, chosen, optimize=True) * self.mask
-                dpatch = (dh[:, :, None] * self.w.T[None]).reshape(n * FILTERS, WIDEST, DIM)
-                de = np.zeros_like(self.e)
-                for j in range(WIDEST):
-                    np.add.at(de, xb[np.repeat(np.arange(n), FILTERS), at.ravel() + j], dpatch[:, j])
-                de[0] = 0
-                grads = {"e": de, "w": dw, "b": dh.sum(0), "v": (a * keep).T @ dz, "c": dz.sum(0)}
-                step += 1
-                lr = rate * (1 - 0.9 * (epoch * len(order) + s) / (epochs * len(order)))
-                for k in params:
-                    first[k] += 0.1 * (grads[k] - first[k])
-                    second[k] += 0.002 * (grads[k] ** 2 - second[k])
-                    value = getattr(self, k)
-                    value -= (lr * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.998**step)) + 1e-7)).astype(np.float32)
+            for s in range(0, len(order), BATCH):
+                rows = order[s : s + BATCH]
+                adam.step(self.gradients(x[rows], y[rows], weight[: len(rows)], rng), rate * (1 - 0.9 * (epoch * len(order) + s) / (epochs * len(order))))
+
+
+class Adam:
+    """Steps of a network along gradients."""
+
+    def __init__(self, network: Network):
+        self.network, self.steps = network, 0
+        self.first, self.second = ({p: np.zeros_like(getattr(network, p)) for p in Network.PARAMS} for _ in range(2))
+
+    def step(self, grads: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for k, g in grads.items():
+            self.first[k] += 0.1 * (g - self.first[k])
+            self.second[k] += 0.002 * (g**2 - self.second[k])
+            value = getattr(self.network, k)
+            value -= (rate * (self.first[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[k] / (1 - 0.998**self.steps)) + 1e-7)).astype(np.float32)
 
 
 class Judge:
@@ -223,9 +268,8 @@ class Judge:
         weight = np.bincount(best, weights=np.minimum(size, 400) * np.exp(score.max(1)), minlength=len(LANGUAGES))
         # ties fall to the likelier over all
         main = int(np.lexsort((score.sum(0), weight))[-1])
-        # the more sentences, the likelier one of them deviates by chance
-        other = score[np.arange(len(best)), best] - score[:, main] > self.margin + 0.5 * np.log(max(1.0, len(parts) / 8))
-        other &= np.array([whole(p[0], p[3]) for p in parts])
+        other = score[np.arange(len(best)), best] - score[:, main] > self.margin + leeway(len(parts))
+        other &= np.array([o and whole(p[0], p[3]) for o, p in zip(other.tolist(), parts, strict=True)], bool)
         lang = np.where(other, best, main)
         segments: list[list] = []
         for (part, start, end, _), code, row in zip(parts, lang.tolist(), score, strict=True):
@@ -259,77 +303,224 @@ def _disturbed(rng: np.random.Generator, text: str) -> str:
     return text
 
 
-def fit(labelled: list[tuple[str, str, str | None]], repair: tuple | None = None, *, max_windows: int = TRAINING_WINDOWS, epochs: int = EPOCHS, seed: int = 9) -> tuple[Judge, dict]:
-    """From (text, language, title): a judge, and its held-out figures."""
-    rng = np.random.default_rng(seed)
-    rows = [(t, LANGUAGES.index(k), h or "") for t, k, h in labelled if t and k in LANGUAGES]
-    rng.shuffle(rows)
-    held, rest = rows[: len(rows) // 8], rows[len(rows) // 8 :]
+def held_out(text: str) -> bool:
+    """An eighth of the documents, copies of a text alike."""
+    return zlib.crc32(text.encode("utf-8", "replace")) % 8 == 0
+
+
+def units_of(text: str, lang: int) -> list[str]:
+    """The sentences of a document that tell its language."""
+    parts = (text[s:e].strip() for s, e in sentences(text))
+    return [part for part in parts if len(_LOWER.findall(part)) >= 2 or LANGUAGES[lang] == "ja"]
+
+
+def _with_word(part: str, accented: list[str], i: int) -> str:
+    """Every eighth part gets a word with foreign signs, which is no language."""
+    if not accented or i % 8:
+        return part
+    word = accented[i // 8 % len(accented)]
+    return f"{part} – {word} X" if i % 16 else f"{word} {part}"
+
+
+def _target(k: int) -> np.ndarray:
+    return np.eye(len(LANGUAGES), dtype=np.float32)[k] * 0.98 + 0.02 / len(LANGUAGES)
+
+
+def begun(rows: list[tuple[str, int, str]], rng: np.random.Generator, max_windows: int, epochs: int) -> tuple[Network, list[str]]:
+    """From (text, language, title): a network to go on from, and words with foreign signs."""
     units: list[list[str]] = [[] for _ in LANGUAGES]
     heads: list[list[str]] = [[] for _ in LANGUAGES]
-    for text, k, head in rest:
+    for text, k, head in rows:
         if head and head != "(no title)":
-            heads[int(k)].append(head)
-        for s, e in sentences(text):
-            part = text[s:e].strip()
-            if len(_LOWER.findall(part)) >= 2 or LANGUAGES[int(k)] == "ja":
-                units[int(k)].append(part)
+            heads[k].append(head)
+        units[k] += units_of(text, k)
     accented = [w for u in units for part in u for w in part.split(" ") if not w.isascii() and w.isalpha()]
     network = Network()
-    judge = Judge(network, 2.0, repair)
     present = [k for k in range(len(LANGUAGES)) if units[k]]
-    figures: dict = {"documents": len(rows)}
     if not present:
-        return judge, figures
+        return network, accented
     x, y = [], []
     for k in present:
         take = int(max_windows * len(units[k]) ** 0.5 / sum(len(units[j]) ** 0.5 for j in present))
         for i, r in zip(rng.integers(0, 1 << 30, take), rng.random(take), strict=True):
             pool = heads[k] if heads[k] and r < 0.25 else units[k]
-            part = bare(_disturbed(rng, pool[i % len(pool)]))
-            if accented and i % 8 == 0:  # a word with foreign signs is no language
-                part = f"{part} – {accented[i // 8 % len(accented)]} X" if i % 16 else f"{accented[i // 8 % len(accented)]} {part}"
+            part = _with_word(bare(_disturbed(rng, pool[i % len(pool)])), accented, int(i))
             w = windows(part.encode("utf-8", "replace"))
             x.append(w[rng.integers(len(w))])
-            y.append(np.eye(len(LANGUAGES), dtype=np.float32)[k] * 0.98 + 0.02 / len(LANGUAGES))
+            y.append(_target(k))
     for _ in range(max_windows // 40):
-        part = [str(rng.choice(["X", "X", "X", str(rng.integers(2, 90_000))])) for _ in range(rng.integers(1, 7))]
-        x.append(windows(rng.choice([", ", " ", " | ", " / ", " – "]).join(part).encode())[0])
+        x.append(_nameless(rng))
         y.append(np.full(len(LANGUAGES), 1 / len(LANGUAGES), np.float32))
     network.train(np.stack(x), np.stack(y), epochs)
-    # the margin: single held-out documents against the same with one sentence of another language
-    right, alone, mixed = 0, [], []
-    pool = [[text[s:e].strip() for text, j, _ in held if int(j) == k for s, e in sentences(text)[:6] if e - s > 30] for k in range(len(LANGUAGES))]
-    for text, k, _ in held:
-        k = int(k)
-        parts = [text[s:e] for s, e in sentences(text)[:40]]
-        if not parts:
+    return network, accented
+
+
+def _nameless(rng: np.random.Generator) -> np.ndarray:
+    """A window of nothing but names and numbers."""
+    part = [str(rng.choice(["X", "X", "X", str(rng.integers(2, 90_000))])) for _ in range(rng.integers(1, 7))]
+    return windows(rng.choice([", ", " ", " | ", " / ", " – "]).join(part).encode())[0]
+
+
+class Pass:
+    """Takes a network further by all windows of the documents it is given."""
+
+    def __init__(self, network: Network, accented: list[str], sizes: np.ndarray):
+        self.network, self.accented, self.adam = network, accented, Adam(network)
+        weight = np.where(sizes > 0, np.maximum(sizes, 1.0) ** -0.5, 0)
+        self.weight = (weight * sizes.sum() / max((weight * sizes).sum(), 1e-9)).astype(np.float32)
+        self.rng, self.seen, self.learned = np.random.default_rng(5), 0, 0
+        self.x, self.k = np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
+
+    def add(self, rows: list[tuple[str, int, str]]) -> None:
+        """(text, language, title) of documents that are not held out."""
+        x, k = [], []
+        for text, lang, head in rows:
+            rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+            for part in units_of(text, lang) + ([head] if head and head != "(no title)" else []):
+                w = windows(_with_word(bare(_disturbed(rng, part)), self.accented, int(rng.integers(0, 1 << 30))).encode("utf-8", "replace"))
+                x.append(w)
+                k += [lang] * len(w)
+        if not x:
+            return
+        x, k = np.concatenate(x), np.array(k)
+        self.seen += len(x)
+        unknown = np.exp(self.network.logp(x)[np.arange(len(x)), k]) < KNOWN
+        self.x, self.k = np.concatenate([self.x, x[unknown]]), np.concatenate([self.k, k[unknown]])
+        while len(self.x) >= BATCH:
+            self._step()
+
+    def _step(self) -> None:
+        x, k = self.x[:BATCH], self.k[:BATCH]
+        self.x, self.k = self.x[BATCH:], self.k[BATCH:]
+        self.learned += len(x)
+        blank = max(1, len(x) // 40)
+        y = np.stack([_target(j) for j in k.tolist()] + [np.full(len(LANGUAGES), 1 / len(LANGUAGES), np.float32)] * blank)
+        x = np.concatenate([x, np.stack([_nameless(self.rng) for _ in range(blank)])])
+        self.adam.step(self.network.gradients(x, y, np.r_[self.weight[k], np.ones(blank, np.float32)].astype(np.float32), self.rng), RATE)
+
+    def end(self) -> Network:
+        if len(self.x):
+            self._step()
+        return self.network
+
+
+def deviations(judge: Judge, held: list[tuple[str, int]], rng: np.random.Generator) -> Counter:
+    """How often comes what, by (kind, hundredths), at held-out documents, by the rule that judges items.
+
+    "alone" is the evidence of the most deviating sentence of a document against its language, "mixed" that of a sentence of another
+    one in place of it, "right" says whether the language is the label.
+    """
+    each = [[bare(text[s:e]) for s, e in sentences(text)] for text, _ in held]
+    score, size = judge.evidence([p for parts in each for p in parts])
+    pool: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
+    spans, at = [], 0
+    for parts, (text, k) in zip(each, held, strict=True):
+        spans.append((at, at + len(parts)))
+        pool[k] += [score[at + i] for i, (s, e) in enumerate(sentences(text)[:6]) if e - s > 30]
+        at += len(parts)
+    got: Counter = Counter()
+    for (s, e), (_, k) in zip(spans, held, strict=True):
+        if s == e:
             continue
-        score, size = judge.evidence([bare(p) for p in parts])
-        main = int(np.bincount(score.argmax(1), weights=size, minlength=len(LANGUAGES)).argmax())
-        right += main == k
-        alone.append(float((score.max(1) - score[:, main]).max()))
-        others = [j for j in present if j != k and pool[j]]
-        if others:
+        row = score[s:e]
+        main = int(np.bincount(row.argmax(1), weights=size[s:e], minlength=len(LANGUAGES)).argmax())
+        allowed = leeway(e - s)
+        got["right", int(main == k)] += 1
+        got["alone", round(100 * (float((row.max(1) - row[:, main]).max()) - allowed))] += 1
+        if others := [j for j in range(len(LANGUAGES)) if j != k and pool[j]]:
             j = int(rng.choice(others))
-            foreign, _ = judge.evidence([bare(str(rng.choice(pool[j])))])
-            mixed.append(float(foreign[0, j] - foreign[0, main]))
-    if alone and mixed:
-        a, m = np.sort(alone), np.sort(mixed)
-        # a few documents are mixed themselves
-        options = np.linspace(0.5, 6, 56)
-        wrong = 1 - np.searchsorted(a, options) / len(a) + np.searchsorted(m, options) / len(m)
-        judge.margin = float(np.mean(options[wrong <= wrong.min() + 1e-9]))
-        figures |= {"held_out": len(alone), "wrong_language": len(alone) - right, "margin": judge.margin, "single_held_mixed": int((a > judge.margin).sum()), "mixed_missed": int((m <= judge.margin).sum())}
-    return judge, figures
+            foreign = pool[j][int(rng.integers(len(pool[j])))]
+            got["mixed", round(100 * (float(foreign[j] - foreign[main]) - allowed))] += 1
+    return got
+
+
+def leeway(sentences: int) -> float:
+    """The more sentences, the likelier one of them deviates by chance."""
+    return 0.5 * float(np.log(max(1.0, sentences / 8)))
+
+
+def margin_of(counts: dict[tuple[str, int], int]) -> tuple[float, dict]:
+    """The margin that holds the fewest single documents to be mixed and misses the fewest mixed ones, and its figures."""
+    v = {kind: np.repeat(*zip(*sorted((x, n) for (k, x), n in counts.items() if k == kind), strict=True)) if any(k == kind for k, _ in counts) else np.zeros(0) for kind in ("alone", "mixed")}
+    a, m = v["alone"] / 100, v["mixed"] / 100
+    if not len(a) or not len(m):
+        return 2.0, {}
+    # a few documents are mixed themselves
+    options = np.linspace(0.5, 6, 56)
+    wrong = 1 - np.searchsorted(a, options) / len(a) + np.searchsorted(m, options) / len(m)
+    margin = float(np.mean(options[wrong <= wrong.min() + 1e-9]))
+    return margin, {"held_out": len(a), "wrong_language": counts.get(("right", 0), 0), "margin": margin, "single_held_mixed": int((a > margin).sum()), "mixed_missed": int((m <= margin).sum())}
+
+
+def fit(labelled: list[tuple[str, str, str | None]], repair: tuple | None = None, *, max_windows: int = TRAINING_WINDOWS, epochs: int = EPOCHS, seed: int = 9) -> tuple[Judge, dict]:
+    """From (text, language, title): a judge, and its held-out figures; the rule that ``trained`` follows on tables."""
+    rng = np.random.default_rng(seed)
+    rows = [(t, LANGUAGES.index(k), h or "") for t, k, h in labelled if t and k in LANGUAGES]
+    rng.shuffle(rows)
+    rows = [(str(t), int(k), str(h)) for t, k, h in rows]
+    rest = [r for r in rows if not held_out(r[0])]
+    step = Pass(*begun(rest, rng, max_windows, epochs), np.bincount([k for _, k, _ in rows], minlength=len(LANGUAGES)))
+    step.add(rest)
+    judge = Judge(step.end(), 2.0, repair)
+    judge.margin, figures = margin_of(deviations(judge, [(t, k) for t, k, _ in rows if held_out(t)], rng))
+    return judge, {"documents": len(rows)} | figures
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, int, str]]]:
+    for whole in batches:
+        for b in (whole.slice(i, 400) for i in range(0, whole.num_rows, 400)):
+            yield [(t, LANGUAGES.index(k), h or "") for t, k, h in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+
+def _passed(shared):
+    """The windows seen and learned from, and the way the network went, weighted by the windows seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        network, accented, sizes = shared.value
+        start = network.flat().astype(np.float64)
+        mine = Network()
+        mine.take(start)
+        step = Pass(mine, accented, sizes)
+        for rows in _documents(batches):
+            step.add(rows)
+        way = step.end().flat().astype(np.float64) - start
+        return np.r_[step.seen, step.learned, np.rint(way * step.seen * UNIT)].astype(np.int64)
+
+    return run
+
+
+def _deviated(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: Counter = Counter()
+        rng = np.random.default_rng(6)
+        for rows in _documents(batches):
+            got.update(deviations(shared.value, [r[:2] for r in rows], rng))
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.string()), pa.array([v for _, v in got], pa.int64()), pa.array(list(got.values()), pa.int64())], names=["kind", "value", "n"])
+
+    return run
 
 
 def trained(spark: SparkSession, sf_dir: str, *, training_rows: int = TRAINING_ROWS) -> tuple[Judge, dict]:
-    """Fits on at most ``training_rows`` labelled documents, and the repair of encodings on as many items."""
-    docs = sample(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "title").where("lang is not null"), "doc_id", training_rows, {"text": 2500, "title": 300})
+    """Fits on all labelled documents, as ``fit`` does, and the repair of encodings on all items; ``training_rows`` bounds the documents of the start only.
+
+    What reaches the driver are the start, sums of fixed size, and counts of deviations by hundredths.
+    """
+    context = spark.sparkContext
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "title", "doc_id").where(F.col("lang").isin(*LANGUAGES) & (F.col("text") != ""))
+    held = F.crc32(F.col("text").cast("binary")) % 8 == 0
+    start = sample(docs.where(~held), "doc_id", training_rows, {"text": 2500, "title": 300})
+    sizes = np.zeros(len(LANGUAGES))
+    for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[LANGUAGES.index(r.lang)] = r.n
+    network, accented = begun([(r.text, LANGUAGES.index(r.lang), r.title or "") for r in start], np.random.default_rng(9), TRAINING_WINDOWS, EPOCHS)
+    docs = docs.select("text", "lang", "title")
+    sums = summed(spread(docs.where(~held)), _passed(context.broadcast((network, accented, sizes))), 2 + Network.SIZE)
+    network.take(network.flat() + sums[2:] / (max(int(sums[0]), 1) * UNIT))
     items = table(spark, sf_dir, "preprocessed_items").select("id", "title", "body_text")
-    model, margins = garbled.trained(items, ["title", "body_text"])
-    return fit([(r.text, r.lang, r.title) for r in docs], (model, margins))
+    judge = Judge(network, 2.0, garbled.trained(items, ["title", "body_text"]))
+    counts = spread(docs.where(held)).mapInArrow(_deviated(context.broadcast(judge)), "kind string, value bigint, n bigint").groupBy("kind", "value").agg(F.sum("n").alias("n")).collect()
+    judge.margin, figures = margin_of({(r.kind, r.value): r.n for r in counts})
+    return judge, {"documents": int(sizes.sum()), "windows": int(sums[0]), "learned": int(sums[1])} | figures
 
 
 def _judge(shared, what: str):

@@ -79,3 +79,22 @@ def test_table(fitted, spark):
     assert got[1].lang is None and got[2].languages == [] and got[4].confidence == 0.0
     assert got[3].languages == ["it"] and got[3].confidence > 0.5
     assert l.judged(rows.limit(0), fitted[0], "segments").count() == 0
+
+
+def test_all_documents_are_learned_from(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(l, "TRAINING_WINDOWS", 3000)
+    # more documents than the start takes, and longer ones than it takes of a text
+    text = lambda k: " ".join(_sentence(rng, "en") for _ in range(60)) if k == "long" else _text(rng, k)
+    rows = [(i, text(k), "en" if k == "long" else k, _sentence(rng, "en" if k == "long" else k)) for i, k in enumerate([*WORDS] * 40 + ["long"] * 20)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, title string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(i, r[3], r[1]) for i, r in enumerate(rows[:50])]
+    spark.createDataFrame(items, "id bigint, title string, body_text string").write.parquet(str(tmp_path / "preprocessed_items.parquet"))
+    judge, figures = l.trained(spark, str(tmp_path), training_rows=60)
+    rest = [r for r in rows if not l.held_out(r[1])]
+    step = l.Pass(l.Network(), [], np.ones(len(l.LANGUAGES)))
+    least = sum(len(l.units_of(r[1], l.LANGUAGES.index(r[2]))) + 1 for r in rest)
+    step.add([(r[1], l.LANGUAGES.index(r[2]), r[3]) for r in rest])
+    assert figures["documents"] == len(rows) and figures["held_out"] == len(rows) - len(rest)
+    assert figures["windows"] >= least and step.seen >= least and 0 < figures["learned"] < figures["windows"]
+    assert figures["wrong_language"] <= 2
