@@ -26,6 +26,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -117,11 +118,21 @@ def whole(part: str, text: str) -> bool:
 
 def windows(data: bytes) -> np.ndarray:
     """The bytes of a segment as rows of WINDOW; the last row ends where the segment ends, short ones are filled with 0."""
-    n = len(data)
-    if n <= WINDOW:
-        return np.frombuffer(data.ljust(WINDOW, b"\0"), np.uint8)[None]
-    starts = [*range(0, n - WINDOW, WINDOW), n - WINDOW]
-    return np.stack([np.frombuffer(data, np.uint8, WINDOW, s) for s in starts])
+    return all_windows([data])[0]
+
+
+def all_windows(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of all segments in turn, and how many each has."""
+    rows, counts = [], np.ones(len(segments), np.int64)
+    for i, data in enumerate(segments):
+        n = len(data)
+        if n <= WINDOW:
+            rows.append(data.ljust(WINDOW, b"\0"))
+            continue
+        rows += [data[s : s + WINDOW] for s in range(0, n - WINDOW, WINDOW)]
+        rows.append(data[n - WINDOW :])
+        counts[i] = -(-n // WINDOW)
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, WINDOW), counts
 
 
 class Network:
@@ -227,6 +238,14 @@ class Judge:
     def __init__(self, network: Network, margin: float, repair: tuple | None):
         self.network, self.margin, self.repair = network, margin, repair
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "repairer"}
+
+    @functools.cached_property
+    def repairer(self) -> garbled.Repairer | None:
+        """What it has read of words is kept from batch to batch."""
+        return garbled.Repairer(*self.repair) if self.repair else None
+
     def parts(self, title: str | None, body: str | None) -> list[tuple[str, int, int, str]]:
         """(part, start, end, text to judge) of the segments of an item; places are those of the restored text."""
         out = []
@@ -242,15 +261,14 @@ class Judge:
         if not texts:
             return np.zeros((0, len(LANGUAGES))), np.zeros(0)
         data = [t.encode("utf-8", "replace") for t in texts]
-        rows = [windows(d) for d in data]
-        n = np.array([len(r) for r in rows])
-        logp = self.network.logp(np.concatenate(rows))
+        rows, n = all_windows(data)
+        logp = self.network.logp(rows)
         total = np.add.reduceat(logp, np.cumsum(n) - n, axis=0)
         return total / np.sqrt(n)[:, None], np.array([len(d) for d in data])
 
     def items(self, titles: list[str | None], bodies: list[str | None]) -> list[dict]:
         """For each item: lang, confidence, languages, and its segments (part, start, end, lang, confidence)."""
-        repairer = garbled.Repairer(*self.repair) if self.repair else None
+        repairer = self.repairer
         fix = (lambda t: repairer.restored(t)[0]) if repairer else (lambda t: t)
         each = [self.parts(fix(t), fix(b)) for t, b in zip(titles, bodies, strict=True)]
         score, size = self.evidence([p[3] for parts in each for p in parts])
@@ -311,7 +329,7 @@ def held_out(text: str) -> bool:
 def units_of(text: str, lang: int) -> list[str]:
     """The sentences of a document that tell its language."""
     parts = (text[s:e].strip() for s, e in sentences(text))
-    return [part for part in parts if len(_LOWER.findall(part)) >= 2 or LANGUAGES[lang] == "ja"]
+    return [part for part in parts if len(list(islice(_LOWER.finditer(part), 2))) == 2 or LANGUAGES[lang] == "ja"]
 
 
 def _with_word(part: str, accented: list[str], i: int) -> str:
@@ -373,16 +391,17 @@ class Pass:
 
     def add(self, rows: list[tuple[str, int, str]]) -> None:
         """(text, language, title) of documents that are not held out."""
-        x, k = [], []
+        segments, k = [], []
         for text, lang, head in rows:
             rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
-            for part in units_of(text, lang) + ([head] if head and head != "(no title)" else []):
-                w = windows(_with_word(bare(_disturbed(rng, part)), self.accented, int(rng.integers(0, 1 << 30))).encode("utf-8", "replace"))
-                x.append(w)
-                k += [lang] * len(w)
-        if not x:
+            parts = units_of(text, lang) + ([head] if head and head != "(no title)" else [])
+            for part, i in zip(parts, rng.integers(0, 1 << 30, len(parts)).tolist(), strict=True):
+                segments.append(_with_word(bare(_disturbed(rng, part)), self.accented, i).encode("utf-8", "replace"))
+            k += [lang] * len(parts)
+        if not segments:
             return
-        x, k = np.concatenate(x), np.array(k)
+        x, n = all_windows(segments)
+        k = np.repeat(k, n)
         self.seen += len(x)
         unknown = np.exp(self.network.logp(x)[np.arange(len(x)), k]) < KNOWN
         self.x, self.k = np.concatenate([self.x, x[unknown]]), np.concatenate([self.k, k[unknown]])
@@ -410,14 +429,15 @@ def deviations(judge: Judge, held: list[tuple[str, int]], rng: np.random.Generat
     "alone" is the evidence of the most deviating sentence of a document against its language, "mixed" that of a sentence of another
     one in place of it, "right" says whether the language is the label.
     """
-    each = [[bare(text[s:e]) for s, e in sentences(text)] for text, _ in held]
+    places = [sentences(text) for text, _ in held]
+    each = [[bare(text[s:e]) for s, e in spans] for spans, (text, _) in zip(places, held, strict=True)]
     score, size = judge.evidence([p for parts in each for p in parts])
     pool: list[list[np.ndarray]] = [[] for _ in LANGUAGES]
     spans, at = [], 0
-    for parts, (text, k) in zip(each, held, strict=True):
-        spans.append((at, at + len(parts)))
-        pool[k] += [score[at + i] for i, (s, e) in enumerate(sentences(text)[:6]) if e - s > 30]
-        at += len(parts)
+    for where, (_, k) in zip(places, held, strict=True):
+        spans.append((at, at + len(where)))
+        pool[k] += [score[at + i] for i, (s, e) in enumerate(where[:6]) if e - s > 30]
+        at += len(where)
     got: Counter = Counter()
     for (s, e), (_, k) in zip(spans, held, strict=True):
         if s == e:
